@@ -292,7 +292,7 @@ def settle(e: Entries, within: bool) -> tuple[Entries, np.ndarray]:
     if repeats count ``within`` a document; then one stands for them.
     """
     code = byte_hash(e.data).of(e.a, e.b - e.a)
-    order = np.lexsort((e.d, e.n, code, e.h))
+    order = np.lexsort((e.at, e.d, e.n, code, e.h))
     s = e.take(order)
     code = code[order]
     like = np.zeros(len(s), bool)
@@ -303,9 +303,13 @@ def settle(e: Entries, within: bool) -> tuple[Entries, np.ndarray]:
     first = np.flatnonzero(~like)
     size = np.diff(np.append(first, len(s)))
     if within:
-        covered = np.repeat(size > 1, size)
+        # rows with one id are one document: the same place does not repeat
+        moved = np.zeros(len(s), bool)
+        moved[1:] = like[1:] & ((s.d[1:] != s.d[:-1]) | (s.at[1:] != s.at[:-1]))
+        many = np.logical_or.reduceat(moved, first) if len(s) else moved
+        covered = np.repeat(many, size)
         rest = s.take(first)
-        rest.many = size > 1
+        rest.many = many
     else:
         covered = s.d > np.repeat(s.d[first], size)
         rest = s.take(np.flatnonzero(~covered))
@@ -359,6 +363,15 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
     return joined.select("id", "text", "found").mapInArrow(send, "bucket long, data binary")
 
 
+def join_windows(d: np.ndarray, entry: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first, end) of the spans of windows that begin at ``at``; ``d`` is indexed by ``entry``."""
+    by = np.lexsort((at, entry))
+    entry, at = entry[by], at[by]
+    first = np.flatnonzero(np.concatenate([[True], (entry[1:] != entry[:-1]) | (at[1:] > at[:-1] + 1)])[: len(at)])
+    last = np.append(first, len(at))[1:] - 1
+    return d[entry[first]], at[first], at[last] + length
+
+
 Resolve = Callable[[Entries], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import mixing, sharding, simhash, suffix_dedup
+from keelstone.llm import mixing, sharding, simhash, substring_dedup, suffix_dedup
 from keelstone.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(documents(spark, sf_dir), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -29,7 +33,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_suffix_dedup, op3_sharding, op7_simhash, op10_mixing)
+    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op7_simhash, op10_mixing)
     return {f.__name__: f for f in own}
 
 

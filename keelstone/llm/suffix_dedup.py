@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelstone.llm.common import flat, slices
-from keelstone.llm.passages import Entries, PrefixHash, Units, byte_hash, covered, mask, same_bytes
+from keelstone.llm.passages import Entries, PrefixHash, Units, byte_hash, covered, join_windows, mask, same_bytes
 
 
 class Suffixes:
@@ -136,14 +136,7 @@ def resolver(length: int):
         first = np.searchsorted(kind[own], hit_kind)
         count = np.searchsorted(kind[own], hit_kind, "right") - first
         entry = own[np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)]
-        at = e.at[entry] + np.repeat(hit_step, count)
-        # windows next to each other become one span
-        by = np.lexsort((at, entry))
-        entry, at = entry[by], at[by]
-        new = np.concatenate([[True], (entry[1:] != entry[:-1]) | (at[1:] > at[:-1] + 1)])[: len(at)]
-        first = np.flatnonzero(new)
-        last = np.append(first, len(at))[1:] - 1
-        out.append((e.d[entry[first]], at[first], at[last] + length))
+        out.append(join_windows(e.d, entry, e.at[entry] + np.repeat(hit_step, count), length))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     return resolve
