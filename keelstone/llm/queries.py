@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import mixing, sharding, simhash, substring_dedup, suffix_dedup
+from keelstone.llm import fingerprint, mixing, sharding, simhash, substring_dedup, suffix_dedup
 from keelstone.llm.common import documents
 
 
@@ -28,12 +28,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op7_simhash, op10_mixing)
+    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op7_simhash, op9_fingerprint, op10_mixing)
     return {f.__name__: f for f in own}
 
 
