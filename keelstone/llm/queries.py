@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import fingerprint, mixing, sharding, simhash, substring_dedup, suffix_dedup
+from keelstone.llm import fingerprint, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
 from keelstone.llm.common import documents
 
 
@@ -24,6 +24,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rules = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, rules)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -37,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op7_simhash, op9_fingerprint, op10_mixing)
+    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op4_language_id, op5_quality, op7_simhash, op9_fingerprint, op10_mixing)
     return {f.__name__: f for f in own}
 
 
