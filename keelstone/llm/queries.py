@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import fingerprint, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from keelstone.llm import bpe, fingerprint, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
 from keelstone.llm.common import documents
 
 
@@ -38,6 +38,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(documents(spark, sf_dir)))
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf_dir))
 
@@ -47,7 +51,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op4_language_id, op5_quality, op7_simhash, op9_fingerprint, op10_mixing)
+    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op4_language_id, op5_quality, op7_simhash, op8_byte_bpe, op9_fingerprint, op10_mixing)
     return {f.__name__: f for f in own}
 
 
