@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import bpe, fingerprint, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from keelstone.llm import bpe, embedding_dedup, fingerprint, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
 from keelstone.llm.common import documents
 
 
@@ -34,6 +34,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, rules)
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -51,7 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op4_language_id, op5_quality, op7_simhash, op8_byte_bpe, op9_fingerprint, op10_mixing)
+    own = (op1_suffix_dedup, op2_substring_dedup, op3_sharding, op4_language_id, op5_quality, op6_embedding_dedup, op7_simhash, op8_byte_bpe, op9_fingerprint, op10_mixing)
     return {f.__name__: f for f in own}
 
 
