@@ -3,8 +3,9 @@
 ``passages`` deals the passages that can repeat to shards by content, so that a document is streamed
 only to the shards that can know its passages.  A shard indexes its passages with an FM-index, whose
 Burrows-Wheeler text lies in a wavelet matrix of packed bit vectors, and streams them against it:
-backward search yields for each position how far back the text ending there occurs at two places or
-more (its matching statistic).  Positions at which this reaches ``length`` words close a removed window.
+backward search yields how far back the text that ends at a position occurs at two places or more (its matching
+statistic).  Where this reaches ``length`` words, windows are removed; where it doesn't, no window around
+what was read repeats, which decides most positions without a search of their own.
 
 A passage that lies in the contexts of two anchors is in the index twice; an interval of suffixes
 therefore counts only if it holds two different places.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelstone.llm.common import flat, slices, words
-from keelstone.llm.passages import Entries, Units, covered, join_windows, mask
+from keelstone.llm.passages import Entries, Units, covered, mask
 
 
 class WaveletMatrix:
@@ -78,7 +79,9 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The interval of the pattern with ``symbol`` before it."""
-        return self.first[symbol] + self.matrix.rank(symbol, low), self.first[symbol] + self.matrix.rank(symbol, high)
+        n = len(symbol)
+        both = np.tile(self.first[symbol], 2) + self.matrix.rank(np.tile(symbol, 2), np.concatenate([low, high]))
+        return both[:n], both[n:]
 
 
 def _matching(index: FMIndex, text: np.ndarray, changes: np.ndarray, ends: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -117,16 +120,23 @@ def resolver(length: int):
         at[place] = np.repeat(e.at - begin, e.n) + place + 1
         where = (np.repeat(doc, e.n + 1) * (int(at.max()) + 1) + at)[index.suffixes]
         changes = np.concatenate([[0], np.cumsum(where[1:] != where[:-1])])
-        whole = e.many.copy()
-        some = np.flatnonzero(~whole)
-        whole[some] = _matching(index, text, changes, (begin + e.n)[some], e.n[some]) == e.n[some]
-        out = [(e.d[whole], e.at[whole], (e.at + e.n)[whole])]
-        rest = np.flatnonzero(~whole)
-        n = e.n[rest] - length + 1
-        entry = np.repeat(rest, n)
-        step = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
-        hit = _matching(index, text, changes, begin[entry] + step + length, np.full(len(entry), length)) >= length
-        out.append(join_windows(e.d, entry[hit], (e.at[entry] + step)[hit], length))
+        out = [(e.d[e.many], e.at[e.many], (e.at + e.n)[e.many])]
+        # ends of windows still undecided, as ranges (entry, low, high); the first try is the last end
+        entry = np.flatnonzero(~e.many)
+        low, high, end = np.full(len(entry), length), e.n[entry], e.n[entry]
+        while len(entry):
+            reached = _matching(index, text, changes, begin[entry] + end, end)
+            hit = reached >= length
+            # a match reaching further back decides the windows within it
+            first = np.maximum(low, end - reached + length)
+            out.append((e.d[entry[hit]], e.at[entry[hit]] + first[hit] - length, e.at[entry[hit]] + end[hit]))
+            # what a failed one has read is unique, and so is every window around it
+            below = np.where(hit, first, end) - 1
+            above = np.where(hit, end, end - reached - 1 + length) + 1
+            left, right = low <= below, above <= high
+            entry = np.concatenate([entry[left], entry[right]])
+            low, high = np.concatenate([low[left], above[right]]), np.concatenate([below[left], high[right]])
+            end = (low + high + 1) // 2
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     return resolve
