@@ -2,8 +2,8 @@
 
 Vectors with one label start together in every tree.  A node with more than ``leaf_rows`` vectors is split
 by random directions at the median of a bounded sample of it (``sample_rows``, chosen by hash), several
-levels at a time; a vector within ``spill`` of a threshold goes to both sides.  The sample only places the
-thresholds: every vector is routed, and nodes are split until they are small.  A node that no longer
+levels at a time; a vector within ``spill`` of a threshold goes to both sides, and a direction that would put
+more than a quarter there isn't used.  The sample only places the thresholds: every vector is routed, and nodes are split until they are small.  A node that no longer
 shrinks is a dense cluster and stays whole; it is compared in blocks of ``leaf_rows``, which other tasks
 share, so no task holds more than two blocks.
 
@@ -30,6 +30,9 @@ from keelstone.llm.common import components, staged
 
 _MASK = (1 << 63) - 1
 
+#: A split that would send more of a node to both sides isn't made; the next direction may do better.
+MOST_SHARED = 0.25
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Rows of equal length as a matrix of doubles."""
@@ -60,9 +63,14 @@ def _split(x: np.ndarray, planes: np.ndarray, spill: float, cuts: np.ndarray | N
         below = []
         for rows in level:
             t = x[rows] @ planes[at]
-            if fit and len(rows):
-                cuts[at] = np.median(t)
-            below += [rows[t <= cuts[at] + spill], rows[t >= cuts[at] - spill]]
+            if fit:
+                cuts[at] = np.median(t) if len(rows) else np.nan
+                if (np.abs(t - cuts[at]) <= spill).mean() > MOST_SHARED:
+                    cuts[at] = np.nan
+            if np.isnan(cuts[at]):
+                below += [rows, rows[:0]]
+            else:
+                below += [rows[t <= cuts[at] + spill], rows[t >= cuts[at] - spill]]
             at += 1
         level = below
     return level, cuts

@@ -46,13 +46,13 @@ def apportion(cells: DataFrame, group: list[str], cell: list[str], weight: str,
     shift that n roundings can cause is at most n/2 seats in all, hence the width of the range.
     """
     keys = ", ".join(group) or "1"
-    width = "cast(ceil(share * n / (2 * greatest(seats, 1))) as bigint) + 2"
-    near = cells.selectExpr("*", f"sum({weight}) over (partition by {keys}) whole", f"count(*) over (partition by {keys}) n", f"{seats} seats")
-    near = near.selectExpr("*", f"if(whole > 0, seats * ({weight} / whole), 0D) share").selectExpr("*", f"greatest(0L, cast(floor(share) as bigint) - ({width})) base", f"cast(ceil(share) as bigint) + {width} top")
+    width = "cast(ceil(share * n / (2 * greatest(own_seats, 1))) as bigint) + 2"
+    near = cells.selectExpr("*", f"sum({weight}) over (partition by {keys}) whole", f"count(*) over (partition by {keys}) n", f"{seats} own_seats")
+    near = near.selectExpr("*", f"if(whole > 0, own_seats * ({weight} / whole), 0D) share").selectExpr("*", f"greatest(0L, cast(floor(share) as bigint) - ({width})) base", f"cast(ceil(share) as bigint) + {width} top")
     near = near.selectExpr("*", f"sum(base) over (partition by {keys}) granted")
-    open_ = near.selectExpr(*group, *cell, weight, "seats", "granted", "explode(sequence(base, top - 1)) k")
+    open_ = near.selectExpr(*group, *cell, weight, "own_seats", "granted", "explode(sequence(base, top - 1)) k")
     ranked = open_.selectExpr("*", f"row_number() over (partition by {keys} order by {weight} / (2 * k + 1) desc, {', '.join(cell)}, k) place")
-    won = ranked.where(f"place <= seats - granted and {weight} > 0").groupBy(*group, *cell).agg(F.count("*").alias("won"))
+    won = ranked.where(f"place <= own_seats - granted and {weight} > 0").groupBy(*group, *cell).agg(F.count("*").alias("won"))
     on = [F.expr(f"l.{c} = r.{c}") for c in [*group, *cell]]
     condition = on[0]
     for c in on[1:]:
@@ -92,14 +92,16 @@ def mixed(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: s
     Rows keep the columns of ``docs``.  A part is the document's first words, joined by one space; documents that the mix doesn't take have no row.  Rows with equal ids share their
     taken words evenly only if their texts are equal, so ids should be unique.
     """
+    # own names, so that no column of ``docs`` can clash
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    the_id, the_text = (own[docs.columns.index(c)] for c in (id_col, text))
     plan = mix(docs, text, id_col, source, **options).where("taken > 0").groupBy(id_col, "size").agg(F.first("taken").alias("taken"))
-    own = docs.withColumn("_size", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
-    plan = plan.select(F.col(id_col).alias("_id"), F.col("size").alias("_plan_size"), "taken")
-    rows = own.join(plan, (F.col(id_col) == F.col("_id")) & (F.col("_size") == F.col("_plan_size")))
-    rows = rows.withColumn("_pass", F.explode(F.expr("sequence(0L, (taken - 1) div _size)")))
-    left = F.expr("least(_size, taken - _pass * _size)")
-    part = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), 1, F.col("_left").cast("int")), " ")
-    rows = rows.withColumn("_left", left).withColumn(text, F.when(F.expr("_left = _size"), F.col(text)).otherwise(part))
+    plan = plan.select(F.col(id_col).alias("plan_id"), F.col("size").alias("plan_size"), "taken")
+    rows = docs.toDF(*own).withColumn("size", F.coalesce(F.regexp_count(F.col(the_text), F.lit(WORD)), F.lit(0)).cast("long"))
+    rows = rows.join(plan, F.col(the_id).eqNullSafe(F.col("plan_id")) & (F.col("size") == F.col("plan_size")))
+    rows = rows.withColumn("pass", F.explode(F.expr("sequence(0L, (taken - 1) div size)"))).withColumn("left", F.expr("least(size, taken - pass * size)"))
+    part = F.array_join(F.slice(F.regexp_extract_all(F.col(the_text), F.lit(WORD), F.lit(0)), 1, F.col("left").cast("int")), " ")
+    rows = rows.withColumn(the_text, F.when(F.expr("left = size"), F.col(the_text)).otherwise(part))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        rows = rows.withColumn(own[docs.columns.index("n_chars")], F.char_length(the_text))
+    return rows.select(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(own, docs.schema, strict=True)])
