@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import bpe, embedding_dedup, fingerprint, language, mixing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from keelstone.llm import bpe, embedding_dedup, fingerprint, language, mixing, quality, sharding, simhash, sql, substring_dedup, suffix_dedup
 from keelstone.llm.common import documents
 
 
@@ -60,4 +60,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op6_embedding_dedup": sql.EMBEDDING_DEDUP,
+        "op10_mixing": sql.MIXING,
+    }
