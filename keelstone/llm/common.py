@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that numpy code holds at once (one longer document is taken alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 #: ``[\x20\x09-\x0D]``, the bytes between words.
 SPACE = np.zeros(256, bool)
@@ -70,6 +70,14 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``limit`` bytes of the string column."""
+    for batch in batches:
+        for i, j in slices(flat(batch.column(column))[1], limit):
+            yield batch.slice(i, j - i)
+            pa.default_memory_pool().release_unused()
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first word of each document, with a closing entry) of the words of flat texts.
 

@@ -5,12 +5,12 @@ A passage is a window of ``length`` consecutive units (bytes, or words).  Every
 windows own equal anchors, and neighbouring windows mostly share one, so anchors are few and yet no
 repeated window lacks one.
 
-1. ``shared_anchors``: each Arrow batch of documents packs its anchors' hashes into one binary row
-   for each hash range.  Anchors that meet within the batch are settled there, and one of them stands
-   for all, so that a very frequent passage costs a range one entry for each batch and not one for
+1. ``shared_anchors``: each piece of an Arrow batch packs its anchors' hashes into one binary row
+   for each hash range.  Anchors that meet within the piece are settled there, and one of them stands
+   for all, so that a very frequent passage costs a range one entry for each piece and not one for
    each document.  The ranges report the anchors that occur again, by document.
 2. ``entries``: documents take their shared anchors back by a join on the id and send each one's
-   *context*, all the windows that can own it, to the anchor's range.  Equal contexts of a batch are
+   *context*, all the windows that can own it, to the anchor's range.  Equal contexts of a piece are
    again settled in place.
 3. The operator decides in each range which windows repeat (``resolve``), in pieces of whole anchors.
 4. The covered spans go back to the documents by a second join, which reads the first one's shuffle.
@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelstone.llm.common import flat, slices, words
+from keelstone.llm.common import flat, pieces, slices, words
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -36,15 +36,21 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
+#: Hash ranges at least; there are two for each shuffle partition if that is more.
+LEAST_RANGES = 128
+
+#: Bytes of text whose anchors are settled together before they are sent.
+TOGETHER = 8 << 20
+
 #: Entries that a range resolves at once, if no single anchor has more.
-PIECE = 30_000
+PIECE = 8_000
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, up to ``n``."""
     global _powers
     if len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 20)
+        size = max(n + 1, 1 << 18)
         both = []
         for base in (_BASE, _BASE_INVERSE):
             x = np.full(size, base, np.uint64)
@@ -169,8 +175,9 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
     """(id, found): hashes of the anchors that other documents have as well (``within``: or the same again)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(batch.column(0).is_valid())
+        for batch in pieces(batches, 1, TOGETHER):
+            if batch.column(0).null_count:
+                batch = batch.filter(batch.column(0).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = flat(batch.column(1))
             parts = []
@@ -322,13 +329,14 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
     """(bucket, data): contexts by hash range; below 0 the spans that the batch settled itself."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(batch.column(2).is_valid())
+        for batch in pieces(batches, 1, TOGETHER):
+            if batch.column(2).null_count:
+                batch = batch.filter(batch.column(2).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = flat(batch.column(1))
             lists = batch.column(2)
             kept, done, whole = [], [], (np.zeros(0, np.int64),) * 3
-            for i, j in slices(offsets, 4 << 20):
+            for i, j in slices(offsets):
                 text = data[offsets[i] : offsets[j]]
                 values, own, start, end = units.read(text, offsets[i : j + 1] - offsets[i])
                 p, h, doc = anchors(values, own, units.length, units.sample)
@@ -378,7 +386,7 @@ Resolve = Callable[[Entries], tuple[np.ndarray, np.ndarray, np.ndarray]]
 def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve) -> DataFrame:
     """(id, spans): for each document with any, the spans of units that repeated windows cover."""
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(LEAST_RANGES, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
