@@ -9,14 +9,13 @@ tokens with the vocabulary and decodes each piece by ordered aggregation.  Texts
 from their pieces' ids, and decoded from them, by position.
 
 Defined results: a null or empty text has no ids; repeated rows are encoded alike; an empty table gives
-an empty result.  Special tokens are ordinary text.  A piece without any break takes as many steps as
-it has merges, so one of 100,000 letters is slow but whole.
+an empty result.  Special tokens are ordinary text.  A very long piece without any break takes about a step for
+each different merge in it.
 """
 
 from __future__ import annotations
 
 import base64
-import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,6 +46,30 @@ with recursive steps(step, w, lp, rp, l, r, k) as (
 last as (select w, max(step) step from steps group by w)
 select w, rp p, r t from steps join last using (w, step)"""
 
+#: Bytes up to which a piece takes the steps above; longer ones contract all pairs of the least rank at once.
+SHORT = 64
+#: Rows that the steps of long pieces may make before their last state is taken as a new start.
+MOST_ROWS = 4_000_000
+
+# Pairs of one rank that follow one another are a chain; every second one of it contracts, from the left.  All that
+# is what single steps from the left would do next, unless the new token can merge at a lower rank than its own.
+_LONG_STEPS = """
+with recursive steps(step, w, lp, rp, l, r, k) as (
+    select 0, w, lp, rp, l, r, ranked(n, lp, rp) from pairs left join merges using (l, r)
+    union all
+    select step, w, lp, rp, l, r, ranked(n, lp, rp) from (
+        with least as (select w, min(k >> 44) n from steps where step < {limit} group by w having min(k) is not null),
+            equal as (select s.w, lp, rp, n::int n, lag(rp) over (partition by s.w order by lp) before from steps s join least b on s.w = b.w and s.k >> 44 = n),
+            chains as (select *, sum((before is null or before <> lp)::int) over (partition by w order by lp) chain from equal),
+            chosen as (select w, lp, rp, n from (select *, row_number() over (partition by w, chain order by lp) i, row_number() over (partition by w order by lp) j from chains)
+                where i % 2 = 1 and (j = 1 or n not in (select n from inverting)))
+        select s.step + 1 step, s.w, coalesce(a.lp, s.lp) lp, s.rp, coalesce(a.n, s.l) l, coalesce(b.n, s.r) r
+        from steps s join least on s.w = least.w left join chosen a on s.w = a.w and s.lp = a.rp left join chosen b on s.w = b.w and s.rp = b.lp
+        where not exists (select 1 from chosen c where c.w = s.w and c.lp = s.lp))
+    left join merges using (l, r)),
+last as (select w, max(step) step from steps group by w)
+select w, lp, rp, l, r, k from steps join last using (w, step)"""
+
 
 class Vocabulary:
     """Ranks, merge table and database of one worker."""
@@ -55,10 +78,12 @@ class Vocabulary:
         tokens = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         merges = [(tokens[t[:i]], tokens[t[i:]], n) for t, n in tokens.items() for i in range(1, len(t)) if t[:i] in tokens and t[i:] in tokens]
         self.byte = np.array([tokens[bytes([i])] for i in range(256)], np.int32)
-        self.folder = tempfile.TemporaryDirectory()
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": self.folder.name})
-        l, r, n = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
-        self._table("merges", pa.table({"l": l, "r": r, "n": n}))
+        # nothing is written to a local folder: what a call makes is bounded, so it needs no spilling
+        self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
+        columns = [pa.array(x, pa.int32()) for x in zip(*merges, strict=True)]
+        self._table("merges", pa.table(columns, ["l", "r", "n"]))
+        inverting = sorted({x for l, r, n in merges for x in (l, r) if x > n})
+        self._table("inverting", pa.table({"n": pa.array(inverting, pa.int32())}))
         self._table("vocabulary", pa.table({"t": pa.array(tokens.values(), pa.int32()), "hex": pa.array([t.hex() for t in tokens])}))
         self.db.execute("create macro ranked(n, lp, rp) as (n::bigint << 44) | (lp::bigint << 22) | rp")
 
@@ -76,8 +101,16 @@ class Vocabulary:
         token = self.byte[data[: offsets[-1]]]
         # the first pair of a piece has no left token, and so never merges
         left = np.where(place == 1, -1, np.roll(token, 1)).astype(np.int32)
-        self._table("pairs", pa.table({"w": w, "lp": place - 1, "rp": place, "l": left, "r": token}))
+        rows = {"w": w, "lp": place - 1, "rp": place, "l": left, "r": token}
+        long = np.repeat(size > SHORT, size)
+        self._table("pairs", pa.table({k: v[~long] for k, v in rows.items()}))
         self.db.execute(f"create or replace table tokens as {_STEPS}")
+        self._table("pairs", pa.table({k: v[long] for k, v in rows.items()}))
+        while n := self.db.sql("select count(*) from pairs").fetchall()[0][0]:
+            self.db.execute(f"create or replace table state as {_LONG_STEPS.format(limit=max(1, MOST_ROWS // n))}")
+            self.db.execute("create or replace table open as select distinct w from state where k is not null")
+            self.db.execute("insert into tokens select w, rp, r from state where w not in (select w from open)")
+            self.db.execute("create or replace table pairs as select w, lp, rp, l, r from state where w in (select w from open)")
         ids = self.db.sql("select w, t from tokens order by w, p").to_arrow_table()
         decoded = self.db.sql("select w, string_agg(hex, '' order by p) hex from tokens join vocabulary using (t) group by w order by w").to_arrow_table()
         hexes = decoded.column("hex").to_pylist()
