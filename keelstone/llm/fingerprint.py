@@ -3,9 +3,8 @@
 A text's canonical form is its Unicode compatibility decomposition with case and white space folded.
 Spark has no normalisation function, so the form is built from expressions whose tables come from
 Python's ``unicodedata`` on the driver: each different character that has a decomposition is looked
-up by ``translate`` and replaced, then neighbouring marks are exchanged into canonical order.  ASCII
-texts skip all of it.  Two limits: runs of more than four marks may keep part of their order, and
-Hangul syllables are not decomposed.
+up by ``translate`` and replaced, then runs of marks are sorted by class.  ASCII texts skip all of it.
+Two limits: a run with a mark of class 0 keeps its order, and Hangul syllables are not decomposed.
 
 The fingerprint is 128 bits of xxhash64 in hexadecimal.  Texts that share one are compared by their
 canonical bytes; should two differ, those fingerprints get the SHA-256 of the bytes appended, so equal
@@ -34,13 +33,9 @@ _STEP = 256
 
 
 @cache
-def _tables() -> tuple[str, list[str], dict[int, str]]:
-    """(characters that decompose, the k-th characters of their forms for each k, marks by class).
-
-    Characters stand by falling length of their form, so those without a k-th character are at the
-    end, where ``translate`` drops them.
-    """
-    forms, classes = [], {}
+def _tables() -> tuple[list[tuple[str, str]], str, str]:
+    """For each k the characters whose form has a k-th character, with those; marks, and their classes as characters."""
+    forms, marks = [], []
     for point in range(0x80, sys.maxunicode + 1):
         c = chr(point)
         if 0xD800 <= point < 0xE000 or 0xAC00 <= point < 0xD7A4:
@@ -48,14 +43,10 @@ def _tables() -> tuple[str, list[str], dict[int, str]]:
         if (form := unicodedata.normalize("NFKD", c)) != c:
             forms.append((c, form))
         if order := unicodedata.combining(c):
-            classes[order] = classes.get(order, "") + c
-    forms.sort(key=lambda x: -len(x[1]))
-    longest = len(forms[0][1])
-    return "".join(c for c, _ in forms), ["".join(f[k] for _, f in forms if len(f) > k) for k in range(longest)], dict(sorted(classes.items()))
-
-
-def _class(characters: str) -> str:
-    return "[" + "".join(rf"\x{{{ord(c):x}}}" for c in characters) + "]"
+            marks.append((c, chr(0x100 + order)))
+    longest = max(len(f) for _, f in forms)
+    parts = [("".join(c for c, f in forms if len(f) > k), "".join(f[k] for _, f in forms if len(f) > k)) for k in range(longest)]
+    return parts, "".join(c for c, _ in marks), "".join(o for _, o in marks)
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -64,23 +55,23 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def _decomposed(text: Column) -> Column:
-    characters, parts, classes = _tables()
-    usual = 4
-    long = characters[: len(parts[usual])]
+    parts, marks, classes = _tables()
 
     def form(c: Column) -> Column:
-        end = F.when(F.contains(F.lit(long), c), F.concat(*[F.translate(c, characters, p) for p in parts[usual:]])).otherwise("")
-        return F.concat(*[F.translate(c, characters, p) for p in parts[:usual]], end)
+        return F.concat(*[F.when(F.contains(F.lit(own), c), F.translate(c, own, to)).otherwise("") for own, to in parts])
+
+    def sorted_marks(run: Column) -> Column:
+        # equal classes keep their order; a mark of class 0 (not in the table) leaves its run as it is
+        own = F.transform(F.split(run, ""), lambda c, i: F.struct(F.translate(c, marks, classes).alias("o"), i.alias("i"), c.alias("c")))
+        return _let(own, lambda x: F.when(F.exists(x, lambda m: m["o"] == m["c"]), run).otherwise(F.array_join(F.transform(F.array_sort(x), lambda m: m["c"]), "")))
 
     def ordered(t: Column) -> Column:
-        for _ in range(3):
-            for order, marks in classes.items():
-                later = "".join(m for o, m in classes.items() if o > order)
-                if later:
-                    t = F.regexp_replace(t, f"({_class(later)})({_class(marks)})", "$2$1")
-        return t
-
-    own = F.filter(F.array_distinct(F.split(F.regexp_replace(text, r"[\x00-\x7F]+", ""), "")), lambda c: (c != "") & F.contains(F.lit(characters), c))
+        runs = F.array_distinct(F.regexp_extract_all(t, F.lit(r"\p{M}{2,}"), F.lit(0)))
+        # longer runs first: a shorter one in disorder isn't part of a sorted one
+        longest = F.transform(F.array_sort(F.transform(runs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("r")))), lambda x: x["r"])
+        return F.aggregate(longest, t, lambda u, r: F.replace(u, r, sorted_marks(r)))
+
+    own = F.filter(F.array_distinct(F.split(F.regexp_replace(text, r"[\x00-\x7F]+", ""), "")), lambda c: (c != "") & F.contains(F.lit(parts[0][0]), c))
     whole = F.aggregate(own, text, lambda t, c: F.replace(t, c, form(c)))
     return _let(whole, lambda t: F.when(F.rlike(t, F.lit(r"\p{M}{2}")), ordered(t)).otherwise(t))
 
@@ -116,7 +107,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 
     ``edited``: the last half of the characters replaced by the first as many of the next document.
     Documents meet their next one in ranges of ids; the first document of each range also stands
-    behind the range before it.  One shuffle carries the texts.
+    behind the range before it.  One shuffle carries the texts; a written table keeps what is needed after it.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = docs.select(_bucket(docs, "id").alias("bucket"), "id", F.xxhash64("text").alias("key"), "text", digest(canonical(F.col("text"))).alias("fp"))
@@ -142,15 +133,18 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
         same = F.when(F.col(a) == F.col(b), canonical(F.col(x)) == canonical(F.col(y))).otherwise(False)
         return same.cast("double")
 
-    members = cut.where("copies > 1").select("fp", canonical(F.col("text")).alias("canon"))
-    clashes = members.groupBy("fp").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select(F.col("fp").alias("clash"))
-
-    def told(fp: str, x: str, clash: str) -> Column:
-        return F.when(F.col(clash).isNull(), F.col(fp)).otherwise(F.concat(F.col(fp), F.lit("-"), F.sha2(canonical(F.col(x)), 256)))
-
-    out = cut.join(clashes, cut["fp"] == clashes["clash"], "left")
+    # texts end here: what goes on is digests, and the canonical form of texts that share a fingerprint
+    told = cut.select(
+        "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", alike("fp", "text", "edited_fp", "edited").alias("near_edited"),
+        alike("fp", "text", "next_fp", "next_text").alias("near_next"), "copies", F.when(F.col("copies") > 1, canonical(F.col("text"))).alias("canon"),
+    )
+    told = staged(told, "fingerprint")
+    shared = told.where("canon is not null").groupBy("fp").agg(F.min("canon").alias("a"), F.max("canon").alias("b"))
+    clashes = shared.where("a <> b").select(F.col("fp").alias("clash"))
+    thin = told.withColumn("own", F.when(F.col("canon").isNotNull(), F.sha2("canon", 256))).drop("canon")
+    out = thin.join(clashes, F.col("fp") == F.col("clash"), "left")
+    name = F.when(F.col("clash").isNull(), F.col("fp")).otherwise(F.concat("fp", F.lit("-"), "own"))
     return out.select(
-        F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), told("fp", "text", "clash").alias("fingerprint"),
-        F.col("edited_fp").alias("edited_fingerprint"), alike("fp", "text", "edited_fp", "edited").alias("near_edited"),
-        alike("fp", "text", "next_fp", "next_text").alias("near_next"), F.col("copies").alias("group_size"),
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", name.alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+        F.col("copies").alias("group_size"),
     )
