@@ -49,6 +49,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_bound(count: int, wanted: int) -> int:
+    """The 64-bit hash that about four times ``wanted`` of ``count`` rows are at or below.
+
+    The ``wanted`` rows of least hash are among these, so that finding them sorts a few rows and not what
+    every task keeps of its own.
+    """
+    return min((1 << 63) - 1, int((1 << 64) * 4 * wanted / max(1, count)) - (1 << 63))
+
+
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls count as empty texts."""
     if isinstance(column, pa.ChunkedArray):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelstone.llm.common import flat, slices
+from keelstone.llm.common import flat, hash_bound, slices
 
 #: Families of languages by code; a language that isn't here is a family of its own.
 FAMILIES = {
@@ -127,8 +127,12 @@ def fit(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str =
     """Learn from the rows that aren't held out and have a text and a language."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col))
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(id_col).alias("rank"))
-    rows = rows.where(F.rlike("text", F.lit(r"\p{L}")))
-    # row_number() <= n keeps n rows of each language in every task already
+    # one row for each language, of which the model has machines for every pair
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    bounds = [F.lit(x) for name, n in counts.items() for x in (name, hash_bound(n, per_lang))]
+    if not bounds:
+        return None
+    rows = rows.where(F.col("rank") <= F.create_map(*bounds)[F.col("lang")]).where(F.rlike("text", F.lit(r"\p{L}")))
     chosen = rows.withColumn("row", F.expr("row_number() over (partition by lang order by rank)")).where(f"row <= {per_lang}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
