@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelstone.llm.common import flat, slices, words
+from keelstone.llm.common import flat, hash_bound, slices, words
 from keelstone.llm.language import held_out
 from keelstone.llm.passages import PrefixHash, byte_hash
 
@@ -190,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     """Learn from the labelled rows that aren't held out."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
     counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
-    known = known.withColumn("row", F.expr("row_number() over (partition by _label order by xxhash64(_id), _id)")).where(f"row <= {per_class}").drop("row").distinct()
+    bound = F.when(F.col("_label") == 1, hash_bound(counts.get(1, 0), per_class)).otherwise(hash_bound(counts.get(0, 0), per_class))
+    known = known.where(F.xxhash64("_id") <= bound).withColumn("row", F.expr("row_number() over (partition by _label order by xxhash64(_id), _id)")).where(f"row <= {per_class}").drop("row").distinct()
     # at most 2 * per_class rows of two integers
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(known), F.col(id_col) == F.col("_id"))
     rows = rows.withColumn("row", F.expr("row_number() over (partition by _id, _label order by xxhash64(text))")).where("row = 1")
