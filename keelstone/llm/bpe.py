@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -32,6 +33,9 @@ from keelstone.llm.common import flat, slices
 #: Pieces that a task remembers before it starts anew.
 MEMO = 400_000
 
+#: Bytes of new pieces that one recursive query contracts (one longer piece is taken alone), since it holds all its steps.
+TOGETHER = 1 << 17
+
 _STEPS = """
 with recursive steps(step, w, lp, rp, l, r, k) as (
     select 0, w, lp, rp, l, r, ranked(n, lp, rp) from pairs left join merges using (l, r)
@@ -92,9 +96,10 @@ class Vocabulary:
         self.db.execute(f"create or replace table {name} as select * from incoming")
         self.db.unregister("incoming")
 
-    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, ids of each piece, bytes decoded from them, bytes of each piece)."""
-        data, offsets = flat(pa.array(pieces, pa.string()))
+        data, offsets = flat(pieces)
+        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         size = np.diff(offsets)
         w = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
         place = (np.arange(len(w)) - np.repeat(offsets[:-1], size) + 1).astype(np.int32)
@@ -115,6 +120,8 @@ class Vocabulary:
         decoded = self.db.sql("select w, string_agg(hex, '' order by p) hex from tokens join vocabulary using (t) group by w order by w").to_arrow_table()
         hexes = decoded.column("hex").to_pylist()
         counts = np.bincount(ids.column("w").to_numpy(), minlength=len(pieces))
+        for name in ("pairs", "tokens", "state", "open"):  # a worker that waits for its next task holds the merge table only
+            self.db.execute(f"drop table if exists {name}")
         raw = np.frombuffer(bytes.fromhex("".join(hexes)), np.uint8)
         return ids.column("t").to_numpy().astype(np.uint32), counts, raw, np.array([len(h) // 2 for h in hexes], np.int64)
 
@@ -170,9 +177,10 @@ def encode(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_i
                     pieces = cut(x.as_py())
                     counts.append(len(pieces))
                     which.append(np.fromiter(map(memo.__getitem__, pieces), np.int32, len(pieces)))
-                known = len(ids.size)
-                if len(memo) > known:
-                    new_ids, n_ids, new_raw, n_raw = vocabulary.encode(list(memo)[known:])
+                new = pa.array(islice(memo, len(ids.size), None), pa.string())
+                found = [vocabulary.encode(new[a:b]) for a, b in slices(flat(new)[1], TOGETHER)]
+                if found:
+                    new_ids, n_ids, new_raw, n_raw = (np.concatenate(x) for x in zip(*found, strict=True))
                     ids.add(new_ids, n_ids)
                     raw.add(new_raw, n_raw)
                 packed, decoded = [], []
