@@ -164,3 +164,13 @@ def test_clashing_columns(spark, docs):
         assert f(rows).count() == 12, f
     assert mixing.mixed(rows).columns == own and quality.accepted(rows, quality.Rules(9.0, [])).columns == own
     assert language.identify(rows).count() == 12 and quality.score(rows, quality.Rules(0.0, [])).count() == 12
+
+
+def test_hash_bound_keeps_enough_rows(spark):
+    from pyspark.sql import functions as F
+
+    from keelstone.llm.common import hash_bound
+
+    assert hash_bound(0, 800) == hash_bound(3200, 800) == (1 << 63) - 1
+    kept = spark.range(100_000).where(F.xxhash64("id") <= hash_bound(100_000, 800)).count()
+    assert 2900 < kept < 3500
