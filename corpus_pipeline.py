@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import bpe, mixing, quality, simhash, suffix_dedup
+from keelstone.llm import bpe, mixing, quality, resemblance, suffix_dedup
 from keelstone.llm.common import documents, staged
 
 
@@ -19,8 +19,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near duplicates; documents without an id stay."""
-    groups = simhash.near_duplicates(docs)
+    """The document of smallest id of each group linked by 0.8 of their five-word shingles or more; documents without an id stay."""
+    groups = resemblance.near_duplicates(docs)
     leave = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
 

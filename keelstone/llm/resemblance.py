@@ -1,0 +1,145 @@
+"""Near duplicates by the Jaccard similarity of word shingles, checked exactly.
+
+Equal sets of shingles are one node.  Min-hashes of a set make ``BANDS`` keys of ``ROWS`` each: two sets
+of similarity s share a key with probability ``1 - (1 - s**ROWS)**BANDS``, 0.99997 at 0.8.  Sets that
+share a key meet with all their shingles and are linked by their true similarity, so no link is wrong.
+Keys with the same members meet once.  A key of more than ``crowd`` sets is compared in pairs of blocks
+that different tasks take; the work for such a key grows with the square of its sets.
+
+Defined results: case is folded in ASCII as in ``simhash``; a text of fewer than ``shingle`` words has
+one shingle; texts without words are equal; rows without an id take no part; an empty table gives none.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from keelstone.llm.common import components, flat, slices, staged
+from keelstone.llm.simhash import shingles
+
+ROWS, BANDS = 4, 20
+
+_SALT, _ODD = np.random.default_rng(5).integers(0, 1 << 64, (2, ROWS * BANDS), np.uint64)
+_ODD |= np.uint64(1)
+
+
+def _slice_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(different shingle hashes, sorted in each document; offsets of the documents)."""
+    hashes, begins, some, n = shingles(data, offsets, shingle, 42)
+    count = np.zeros(n, np.int64)
+    count[some] = np.diff(np.append(begins, len(hashes)))
+    doc = np.repeat(np.arange(n), count)
+    order = np.lexsort((hashes, doc))
+    hashes, doc = hashes[order], doc[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+    return hashes[new], np.searchsorted(doc[new], np.arange(n + 1))
+
+
+def _digests(hashes: np.ndarray, at: np.ndarray) -> list[bytes]:
+    raw = hashes.tobytes()
+    return [xxhash.xxh3_128_digest(raw[8 * i : 8 * j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _keys(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One row of ``BANDS`` keys for each set; sets without shingles have zeros."""
+    out = np.zeros((len(at) - 1, BANDS), np.uint64)
+    some = np.flatnonzero(np.diff(at))
+    for k in range(ROWS * BANDS if len(some) else 0):
+        low = np.minimum.reduceat((hashes ^ _SALT[k]) * _ODD[k], at[some])
+        band = out[some, k // ROWS] * np.uint64(0x9E3779B97F4A7C15) + low
+        out[some, k // ROWS] = (band ^ (band >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return out + np.arange(BANDS, dtype=np.uint64)
+
+
+def _stars(sets: list[np.ndarray], ids: list[int], similarity: float) -> list[tuple[int, int]]:
+    """Edges from the smallest id of each linked group of sets to the others of the group."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    holders = owner[np.argsort(token, kind="stable")]
+    ends = np.cumsum(np.bincount(token))
+    begins = np.concatenate([[0], ends[:-1]])
+    first = np.cumsum(size) - size
+    edges, left = [], np.ones(len(sets), bool)
+    for seed in range(len(sets)):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        queue, seen = [seed], [seed]
+        while queue and left.any():
+            x = queue.pop()
+            own = token[first[x] : first[x] + size[x]]
+            n = ends[own] - begins[own]
+            both = np.bincount(holders[np.arange(n.sum()) + np.repeat(begins[own] - (np.cumsum(n) - n), n)], minlength=len(sets))
+            near = np.flatnonzero(left & (both >= similarity * (size + size[x] - both) - 1e-9))
+            left[near] = False
+            queue += near.tolist()
+            seen += near.tolist()
+        low = min(ids[i] for i in seen)
+        edges += [(low, ids[i]) for i in seen if ids[i] != low]
+    return edges
+
+
+def near_duplicates(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 5, similarity: float = 0.8, crowd: int = 4096
+) -> DataFrame:
+    """(id, component_id): each document and the smallest id that it is linked with."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
+
+    def sets_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        data, offsets = flat(column)
+        for i, j in slices(offsets):
+            yield i, *_slice_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], shingle)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digest, keys = [], [np.zeros((0, BANDS), np.uint64)]
+            for _, hashes, at in sets_of(batch.column(1)):
+                digest += _digests(hashes, at)
+                keys.append(_keys(hashes, at))
+            flat_keys = pa.array(np.concatenate(keys).ravel().view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(digest) + 1, dtype=np.int32) * BANDS), flat_keys)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), lists], ["id", "digest", "keys"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, hashes, at in sets_of(batch.column(1)):
+                digest, out = _digests(hashes, at), []
+                for k in range(len(digest)):
+                    if digest[k] != batch.column(2)[i + k].as_py():
+                        continue
+                    own = hashes[at[k] : at[k + 1]].tobytes()
+                    for x in batch.column(3)[i + k].as_py():
+                        out += [(x["key"], min(x["own"], y), max(x["own"], y), batch.column(0)[i + k].as_py(), own) for y in range(x["blocks"])]
+                if out:
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "x", "y", "id", "own"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        seen = dict(zip(zip(table.column("id").to_pylist(), table.column("own").to_pylist(), strict=True), table.column("x"), strict=True))
+        edges = _stars([np.frombuffer(s, np.uint64) for _, s in seen], [i for i, _ in seen], similarity)
+        a, b = zip(*edges, strict=True) if edges else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    signed = staged(rows.mapInArrow(sign, "id long, digest binary, keys array<long>"), "signs")
+    nodes = staged(signed.groupBy("digest").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("rep")), "nodes")
+    members = nodes.select("digest", "rep", F.explode("keys").alias("key"))
+    alike = [F.bit_xor(F.xxhash64("digest", F.lit(i))).alias(f"x{i}") for i in (0, 1)]
+    keys = members.groupBy("key").agg(F.count("*").alias("n"), *alike).where("n > 1").groupBy("n", "x0", "x1").agg(F.min("key").alias("key"))
+    blocks = F.expr(f"(n + {crowd - 1}) div {crowd}")
+    own = F.expr("pmod(xxhash64(digest), blocks)")
+    dealt = members.join(keys.select("key", blocks.alias("blocks")), "key").withColumn("own", own)
+    wanted = dealt.groupBy("rep", "digest").agg(F.collect_list(F.struct("key", "own", "blocks")).alias("meets"))
+    wanted = staged(wanted.withColumnRenamed("rep", "id"), "meets")
+    sent = rows.join(wanted, "id").select("id", "text", "digest", "meets").mapInArrow(send, "key long, x long, y long, id long, own binary")
+    edges = staged(sent.groupBy("key", "x", "y").applyInArrow(meet, "a long, b long").distinct(), "near")
+    found = components(edges)
+    named = nodes.join(found, nodes["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    return signed.join(named, "digest").select(F.col("id").alias(id_col), "component_id")

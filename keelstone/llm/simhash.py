@@ -31,12 +31,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _slice_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) -> np.ndarray:
+def shingles(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(hashes of shingles, where those of each document with any begin, which documents these are, all documents)."""
     start, end, first = words(data, offsets)
     n_words = np.diff(first)
-    out = np.zeros(len(n_words), np.uint64)
     if not len(start):
-        return out
+        return np.zeros(0, "<u8"), np.zeros(0, np.int64), np.zeros(0, np.int64), len(n_words)
     lengths = end - start
     at = np.zeros(len(start) + 1, np.int64)
     np.cumsum(lengths + 1, out=at[1:])
@@ -52,6 +52,15 @@ def _slice_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, see
     last = w + np.repeat(np.minimum(n_words[some], shingle) - 1, counts)
     text, digest = text.tobytes(), xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(text[i:j], seed) for i, j in zip(at[w].tolist(), (at[last + 1] - 1).tolist(), strict=True)), "<u8", len(w))
+    return hashes, begins, some, len(n_words)
+
+
+def _slice_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int) -> np.ndarray:
+    hashes, begins, some, n = shingles(data, offsets, shingle, seed)
+    out = np.zeros(n, np.uint64)
+    if not len(some):
+        return out
+    counts = np.diff(np.append(begins, len(hashes)))
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
     ones = np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
     out[some] = np.packbits(2 * ones > counts[:, None], axis=1).view("<u8").ravel()

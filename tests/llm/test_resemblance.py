@@ -1,0 +1,62 @@
+"""Near duplicates against brute-force Jaccard."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from keelstone.llm import resemblance
+from tests.llm.conftest import ODD
+from tests.llm.test_text_operators import WORD
+
+
+def shingles_of(text, k=5):
+    w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def groups_of(texts, least=0.8):
+    sets, parent = [shingles_of(t) for t in texts], list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9:
+                p, q = root(i), root(j)
+                parent[max(p, q)] = min(p, q)
+    return {i: root(i) for i in range(len(texts))}
+
+
+def edited_texts():
+    rng = random.Random(11)
+    out = []
+    for _ in range(60):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.randint(8, 200))]
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 6)):
+            w = list(base)
+            for _ in range(rng.randint(1, 1 + len(w) // 20)):
+                w[rng.randrange(len(w))] = "Edited"
+            out.append(" ".join(w))
+    rng.shuffle(out)
+    return out + ODD
+
+
+@pytest.mark.parametrize("crowd", [2, 4096])
+def test_groups_by_similarity(docs, crowd):
+    texts = edited_texts()
+    rows = resemblance.near_duplicates(docs(texts), crowd=crowd).collect()
+    want = groups_of(texts)
+    assert {r["doc_id"]: r["component_id"] for r in rows} == want
+    assert resemblance.near_duplicates(docs(texts).where("false")).count() == 0
+
+
+def test_stage_drops_near_copies_and_nothing_below(spark, docs):
+    texts = edited_texts()
+    out = corpus_pipeline.near_dedup_stage(spark, docs([*enumerate(texts), (None, texts[0])]), "")
+    assert sorted(r["doc_id"] for r in out.where("doc_id is not null").collect()) == sorted(set(groups_of(texts).values()))
+    assert out.where("doc_id is null").count() == 1
