@@ -13,6 +13,9 @@ repeated window lacks one.
    *context*, all the windows that can own it, to the anchor's range.  Equal contexts of a piece are
    again settled in place.
 3. The operator decides in each range which windows repeat (``resolve``), in pieces of whole anchors.
+   An anchor with many different contexts (next to a frequent passage, where texts differ) is not
+   sent there: ``crowded`` names these first, and each window that owns one goes to the range of its
+   own content, once for each piece, so that equal windows still meet and no range grows with an anchor.
 4. The covered spans go back to the documents by a second join, which reads the first one's shuffle.
 
 Rows whose id is null take no part.  Ids must be integers and identify texts.
@@ -24,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +49,9 @@ TOGETHER = 8 << 20
 #: Entries that a range resolves at once, if no single anchor has more.
 PIECE = 8_000
 
+#: One of so many documents is read to find crowded anchors, and every one of more than LONG bytes.
+SAMPLED, LONG = 64, 1 << 16
+
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, up to ``n``."""
@@ -86,12 +93,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(values: np.ndarray, offsets: np.ndarray, length: int, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, 48-bit hash, document) of the anchors of a sequence of units."""
+def anchors(values: np.ndarray, offsets: np.ndarray, length: int, sample: int) -> tuple[np.ndarray, ...]:
+    """(position, 48-bit hash, document, first window, windows) of the anchors of a sequence of units and of the windows that own them."""
     n_windows = np.maximum(0, np.diff(offsets) - length + 1)
     total = int(n_windows.sum())
     if not total:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
     h = mixed(PrefixHash(values).fixed(sample))
     bits = np.uint64(max(24, len(values).bit_length()))
     least = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
@@ -103,8 +110,10 @@ def anchors(values: np.ndarray, offsets: np.ndarray, length: int, sample: int) -
         least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
     begins = np.cumsum(n_windows) - n_windows
     own = least[np.arange(total) + np.repeat(offsets[:-1] - begins, n_windows)] & ((np.uint64(1) << bits) - np.uint64(1))
-    own = own[np.concatenate([[True], own[1:] != own[:-1]])].astype(np.int64)
-    return own, h[own] >> np.uint64(16), np.searchsorted(offsets, own, "right") - 1
+    first = _firsts(own)
+    own = own[first].astype(np.int64)
+    doc = np.searchsorted(offsets, own, "right") - 1
+    return own, h[own] >> np.uint64(16), doc, first + (offsets[:-1] - begins)[doc], np.diff(np.append(first, total))
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -183,7 +192,7 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
             parts = []
             for i, j in slices(offsets):
                 values, own, _, _ = units.read(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                _, h, doc = anchors(values, own, units.length, units.sample)
+                _, h, doc, _, _ = anchors(values, own, units.length, units.sample)
                 parts.append((h, ids[doc + i]))
             if not parts:
                 continue
@@ -325,8 +334,66 @@ def settle(e: Entries, within: bool) -> tuple[Entries, np.ndarray]:
     return rest, out
 
 
-def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, within: bool) -> DataFrame:
-    """(bucket, data): contexts by hash range; below 0 the spans that the batch settled itself."""
+def crowded(docs: DataFrame, units: Units) -> np.ndarray:
+    """Hashes of the anchors that have about ``PIECE`` different contexts or more, by a sample of documents.
+
+    Any choice gives the same spans, as all documents follow it; it only bounds what meets in a range.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 0, TOGETHER):
+            data, offsets = flat(batch.column(0))
+            for i, j in slices(offsets):
+                text = data[offsets[i] : offsets[j]]
+                values, own, start, end = units.read(text, offsets[i : j + 1] - offsets[i])
+                p, h, doc, _, _ = anchors(values, own, units.length, units.sample)
+                if not len(p):
+                    continue
+                low = np.maximum(own[doc], p - (units.length - units.sample))
+                high = np.minimum(own[doc + 1], p + units.length)
+                code = mixed(byte_hash(text).of(start[low], end[high - 1] - start[low]) + (p - low).astype(np.uint64))
+                weight = batch.column(1).to_numpy(zero_copy_only=False)[i:j][doc]
+                order = np.lexsort((weight, code, h))
+                order = order[_firsts(h[order], code[order])]
+                columns = h[order].view(np.int64), code[order].view(np.int64), weight[order]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "code", "weight"])
+
+    long = F.octet_length("text") > LONG
+    some = docs.where(F.col("id").isNotNull() & (long | (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SAMPLED)) == 0)))
+    found = some.select("text", F.when(long, 1).otherwise(SAMPLED).cast("long").alias("weight")).mapInArrow(send, "h long, code long, weight long")
+    found = found.groupBy("h", "code").agg(F.min("weight").alias("weight")).groupBy("h").agg(F.sum("weight").alias("n"))
+    return np.array(sorted(r["h"] for r in found.where(F.col("n") >= PIECE).select("h").collect()), np.int64).view(np.uint64)
+
+
+def settle_windows(digest: np.ndarray, d: np.ndarray, at: np.ndarray, many: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows that still have to be sent, which of these stand for several places, which windows are covered), as in ``settle``."""
+    order = np.lexsort((at, d, digest[:, 1], digest[:, 0]))
+    s, d, at, many = digest[order], d[order], at[order], many[order]
+    first = _firsts(s[:, 0], s[:, 1])
+    size = np.diff(np.append(first, len(s)))
+    out = np.zeros(len(s), bool)
+    if not within:
+        late = d > np.repeat(d[first], size)
+        out[order] = late
+        return order[~late], many[~late], out
+    moved = many.copy()
+    moved[1:] |= (s[1:] == s[:-1]).all(1) & ((d[1:] != d[:-1]) | (at[1:] != at[:-1]))
+    several = np.logical_or.reduceat(moved, first) if len(s) else moved
+    out[order] = np.repeat(several, size)
+    return order[first], several, out
+
+
+def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, within: bool, crowd: np.ndarray) -> DataFrame:
+    """(bucket, data): contexts by hash range, and from ``buckets`` on windows of crowded anchors; below 0 the spans that the batch settled itself."""
+
+    def windows(text: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """128-bit digests of the windows that begin at the units ``first``."""
+        raw = text.tobytes()
+        a, b = start[first].tolist(), end[first + units.length - 1].tolist()
+        parts = (raw[i:j] for i, j in zip(a, b, strict=True))
+        if units.kind == "words":
+            parts = (b" ".join(x.split()) for x in parts)
+        return np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in parts), "<u8").reshape(-1, 2)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1, TOGETHER):
@@ -335,14 +402,21 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = flat(batch.column(1))
             lists = batch.column(2)
-            kept, done, whole = [], [], (np.zeros(0, np.int64),) * 3
+            kept, done, dealt, whole = [], [], [], (np.zeros(0, np.int64),) * 3
             for i, j in slices(offsets):
                 text = data[offsets[i] : offsets[j]]
                 values, own, start, end = units.read(text, offsets[i : j + 1] - offsets[i])
-                p, h, doc = anchors(values, own, units.length, units.sample)
+                p, h, doc, w, n = anchors(values, own, units.length, units.sample)
+                hot = np.isin(h, crowd)
+                if hot.any():
+                    size = n[hot]
+                    step = np.repeat(w[hot] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    of = np.repeat(doc[hot], size)
+                    dealt.append((windows(text, start, end, step), ids[of + i], step - own[of]))
                 wanted = [np.frombuffer(b"".join(x.as_py()), np.uint64) for x in lists[i:j]]
                 salt = np.repeat(np.arange(j - i, dtype=np.uint64), [len(x) for x in wanted]) * _BASE
                 hit = np.isin(h ^ (doc.astype(np.uint64) * _BASE), np.concatenate(wanted) ^ salt) if len(h) else np.zeros(0, bool)
+                hit &= ~hot
                 p, h, doc = p[hit], h[hit], doc[hit]
                 if not len(p):
                     continue
@@ -353,6 +427,18 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
                 done.append((e.d[covered], e.at[covered], (e.at + e.n)[covered]))
                 kept.append(rest.compact())
             out = []
+            if dealt:
+                digest, d, at = (np.concatenate(x) for x in zip(*dealt, strict=True))
+                rest, many, gone = settle_windows(digest, d, at, np.zeros(len(d), bool), within)
+                done.append((d[gone], at[gone], at[gone] + units.length))
+                digest, d, at = digest[rest], d[rest], at[rest]
+                bucket = _ranges(digest[:, 0] >> np.uint64(16), buckets)
+                order = np.argsort(bucket, kind="stable")
+                edge = np.append(_firsts(bucket[order]), len(order))
+                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    k = order[i:j]
+                    low = int(d[k].min())
+                    out.append((buckets + int(bucket[k[0]]), pack(np.array([low], np.uint64), digest[k, 0], digest[k, 1], (d[k] - low).astype(np.uint64), at[k], many[k])))
             if done:
                 d, a, b = whole = tuple(np.concatenate(x) for x in zip(*done, strict=True))
             if len(whole[0]):
@@ -394,6 +480,13 @@ def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve) -> Da
             d = np.concatenate([r[1].astype(np.int64) + int(r[0][0]) for r in rows])
             a = np.concatenate([r[2] for r in rows]).astype(np.int64)
             return by_document(d, np.stack([a, a + np.concatenate([r[3] for r in rows]).astype(np.int64)], 1))
+        if key[0].as_py() >= buckets:
+            rows = [unpack(x.as_py()) for x in table.column("data")]
+            digest = np.stack([np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (1, 2)], 1)
+            d = np.concatenate([r[3].astype(np.int64) + int(r[0][0]) for r in rows])
+            at = np.concatenate([r[4].astype(np.int64) for r in rows])
+            gone = settle_windows(digest, d, at, np.concatenate([r[5].astype(bool) for r in rows]), within)[2]
+            return by_document(d[gone], np.stack([at[gone], at[gone] + units.length], 1))
         e = Entries.join([Entries.unpacked(x.as_py()) for x in table.column("data")])
         e = e.take(np.argsort(e.h, kind="stable"))
         first = _firsts(e.h)
@@ -412,7 +505,7 @@ def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve) -> Da
         return by_document(d, np.stack([a, b], 1))
 
     flagged = shared_anchors(docs, units, buckets, within)
-    spans = entries(docs, flagged, units, buckets, within).groupBy("bucket").applyInArrow(meet, "id long, found binary")
+    spans = entries(docs, flagged, units, buckets, within, crowded(docs, units)).groupBy("bucket").applyInArrow(meet, "id long, found binary")
     return spans.groupBy("id").agg(F.collect_list("found").alias("spans"))
 
 
