@@ -2,7 +2,7 @@
 
 Shared storage
     ``staged`` cuts lineage by writing a table below ``spark.checkpoint.dir`` (the folder the
-    cluster names); only when that is unset, as in tests, is a temporary folder chosen.
+    cluster names), or below the warehouse where that is unset.
 
 Flat text
     ``flat`` exposes an Arrow string column as one byte array plus offsets, and ``slices`` walks it
@@ -11,7 +11,6 @@ Flat text
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -20,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelstone.sources.shared import shared_dir
+
 #: Bytes of text that numpy code holds at once (one longer document is taken alone).
 SLICE_BYTES = 1 << 19
 
@@ -32,15 +33,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="keelstone-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: a cut in lineage that outlives executors."""
     spark = df.sparkSession
@@ -109,8 +101,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): connected components, each named by its smallest node.
 
     Large-star and small-star steps alternate until the edges are stars around the smallest node.
-    Every step is two aggregations and two joins; minima are combined before the shuffle, so that
-    a node with very many neighbours doesn't meet them in one task.
+    Every step is two aggregations and two joins.  Minima are combined before the shuffle; in the joins a node
+    with very many neighbours is a skewed key, whose rows adaptive execution splits among tasks
+    (``spark.sql.adaptive.skewJoin``), as the other side has one row for it.
     """
 
     def nearest(pairs: DataFrame) -> DataFrame:

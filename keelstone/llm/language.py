@@ -5,7 +5,7 @@ roots of them, so that a dot product compares distributions).  One linear suppor
 each family against the rest picks the family; within a family, one for each pair of languages votes.
 
 The model is fitted on the driver from at most ``per_lang`` rows of each language, chosen by a hash
-of the id; that is the only sampling.  Every whole text is scored in Arrow batches.
+of the id and the text; that is the only sampling.  Every whole text is scored in Arrow batches.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, as is every text if
 nothing can be learned; rows with a null id count as ids of the empty text; repeated rows are scored
@@ -126,14 +126,14 @@ def held_out(id_col: str) -> Column:
 def fit(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str = "lang", per_lang: int = 800) -> Model | None:
     """Learn from the rows that aren't held out and have a text and a language."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col))
-    rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(id_col).alias("rank"))
+    rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(id_col, text).alias("rank"))
     # one row for each language, of which the model has machines for every pair
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     bounds = [F.lit(x) for name, n in counts.items() for x in (name, hash_bound(n, per_lang))]
     if not bounds:
         return None
     rows = rows.where(F.col("rank") <= F.create_map(*bounds)[F.col("lang")]).where(F.rlike("text", F.lit(r"\p{L}")))
-    chosen = rows.withColumn("row", F.expr("row_number() over (partition by lang order by rank)")).where(f"row <= {per_lang}")
+    chosen = rows.withColumn("row", F.expr("row_number() over (partition by lang order by rank, text)")).where(f"row <= {per_lang}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,7 @@ source with most of the rows is spread over many.  Within a shard documents stan
 seeded digest; the quota takes whole passes over them and then blocks from the start of that order.
 
 Defined results: a null text has no words; a null source is a source of its own, after all others;
-rows with equal ids are taken one by one; sources without words have target 0; an empty table
+rows with equal ids are taken one by one, the shorter first; sources without words have target 0; an empty table
 gives an empty result.
 """
 
@@ -25,7 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """(none, source, source_size, target) for ``sizes`` (none, source, source_size).
 
-    Sources are few next to documents; the windows below run over one row for each source.
+    Sources are few next to documents; the windows below sort one row for each source (its name and four numbers) in one
+    task, which spills; with a million sources these are some 100 MB.
     Sorted by ``cap / weight``, the sources that stop at their cap come first, and the level at
     which the rest settles is the largest one met on the way.
     """
@@ -80,7 +81,7 @@ def mix(
     shards = dealt.groupBy("none", "source", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_quota").alias("source_quota"))
     quotas = apportion(shards, ["none", "source"], ["shard"], "shard_size", "source_quota")
     quotas = quotas.selectExpr("none", "source", "shard", "shard_size", f"least(quota * {block_words}, {most} * shard_size) words")
-    order = "(partition by none, source, shard order by rank, id rows between unbounded preceding and current row)"
+    order = "(partition by none, source, shard order by rank, id, size rows between unbounded preceding and current row)"
     placed = dealt.selectExpr("*", f"sum(size) over {order} - size position").join(quotas, ["none", "source", "shard"])
     taken = "if(shard_size = 0, 0L, (words div shard_size) * size + greatest(0L, least(size, words % shard_size - position)))"
     return placed.selectExpr(f"id {id_col}", f"if(none, null, source) {source}", "size", "source_size", "target", f"cast({taken} as bigint) taken")

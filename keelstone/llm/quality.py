@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from keelstone.llm.common import flat, hash_bound, slices, words
 from keelstone.llm.language import held_out
-from keelstone.llm.passages import PrefixHash, byte_hash
+from keelstone.llm.passages import PrefixHash, byte_hash, mixed
 
 STATISTICS = (
     "bytes", "words", "word_bytes", "longest_word", "letters", "upper", "digits", "symbols", "marks", "distinct", "commonest", "distinct_pairs",
@@ -72,7 +72,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.maximum.at(longest, doc, end - start)
     distinct, commonest = _distinct(doc, code, n)
     pair = doc[1:] == doc[:-1]
-    pairs, _ = _distinct(doc[1:][pair], PrefixHash(code).fixed(2)[pair] if len(code) > 1 else code[:0], n)
+    pairs, _ = _distinct(doc[1:][pair], PrefixHash(mixed(code)).fixed(2)[pair] if len(code) > 1 else code[:0], n)
     breaks = data == 0x0A
     line_end = np.unique(np.concatenate([np.flatnonzero(breaks), offsets[1:] - 1]))
     line_end = line_end[line_end >= 0]

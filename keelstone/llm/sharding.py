@@ -6,8 +6,8 @@ left-to-right packing can meet with the given number of shards, found by binary
 
 The driver never sees the groups.  It sees *units*: ranges of the order with their total size, at
 first ``2**12`` of them.  Packing units as if they were atomic bounds the capacity from above, packing
-them as if they were divisible bounds it from below; units around the cuts are split further, eight
-bits at a time, until both bounds meet.  That capacity is the exact optimum over the groups.  Where
+them as if they were divisible bounds it from below; the units at the cuts of both packings (a few for each shard) are
+split further, eight bits at a time, until both bounds meet.  That capacity is the exact optimum over the groups.  Where
 it leaves freedom (one group larger than a fair share), cuts go next to the fair share.
 
 Defined results: a null text has no bytes and counts as an empty one; repeated rows each take a
@@ -76,14 +76,12 @@ def cut_keys(groups: DataFrame, shards: int) -> tuple[list[int], int]:
         if upper == lower:
             break
         ends = np.cumsum(sums)
-        split = np.zeros(len(units), bool)
-        near, far = (_cuts(sums, c, shards, divisible) for c in (lower, upper))
-        for j in range(max(len(near), len(far))):
-            a, b = sorted((near[min(j, len(near) - 1)], far[min(j, len(far) - 1)]))
-            split[np.searchsorted(ends, a, "left") : np.searchsorted(ends, b, "left") + 1] = True
-        split &= divisible
-        if not split.any():
-            split = divisible
+        split = np.zeros(len(units) + 1, bool)
+        # at least one cut at the lower capacity is within a unit, else that capacity would do for whole units
+        for at in _cuts(sums, lower, shards, divisible) + _cuts(sums, upper, shards):
+            unit = int(np.searchsorted(ends, at, "left"))
+            split[unit : unit + 2] = True
+        split = split[:-1] & divisible
         kept, parts = units[~split], []
         for bits, some in units[split].groupby("bits"):
             parts.append(_units(groups, min(64, int(bits) + MORE_BITS), some["unit"].tolist(), int(bits)))

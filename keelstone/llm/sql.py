@@ -43,7 +43,7 @@ quotas as (select none, source, shard, count(*) quota
     from ({_SEATS.format(group="none, source", weight="shard_size", cell="shard", most="source_quota", cells="shards")})
     where place <= source_quota and shard_size > 0 group by none, source, shard),
 placed as (select dealt.*, shard_size, least(coalesce(quota, 0) * 32, 3 * shard_size)::bigint words,
-    sum(size) over (partition by none, source, shard order by rank, doc_id rows between unbounded preceding and current row) - size position
+    sum(size) over (partition by none, source, shard order by rank, doc_id, size rows between unbounded preceding and current row) - size position
     from dealt join shards using (none, source, shard) left join quotas using (none, source, shard))
 select doc_id, size, source_size, target,
     (case when shard_size = 0 then 0 else (words // shard_size) * size + greatest(0, least(size, words % shard_size - position)) end)::bigint taken from placed"""
