@@ -18,7 +18,8 @@ repeated window lacks one.
    own content, once for each piece, so that equal windows still meet and no range grows with an anchor.
 4. The covered spans go back to the documents by a second join, which reads the first one's shuffle.
 
-Rows whose id is null take no part.  Ids must be integers and identify texts.
+Rows whose id is null take no part.  Ids must be integers.  A document is an id with a *tag*: 0 where ids are
+unique, else a 64-bit hash of the text, so that different texts with one id are different documents of equal rank.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
-#: Hash ranges at least; there are two for each shuffle partition if that is more.
-LEAST_RANGES = 128
+#: Hash ranges at least, and bytes of text for each range beyond that; a range is what a task holds at once.
+LEAST_RANGES, RANGE_BYTES = 128, 16 << 20
 
 #: Bytes of text whose anchors are settled together before they are sent.
 TOGETHER = 8 << 20
@@ -52,6 +53,9 @@ PIECE = 8_000
 #: One of so many documents is read to find crowded anchors, and every one of more than LONG bytes.
 SAMPLED, LONG = 64, 1 << 16
 
+#: Crowded anchors that are dealt by window at most, the most crowded first: 8 MB that every task knows.
+MOST_CROWDED = 1 << 20
+
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, up to ``n``."""
@@ -156,7 +160,15 @@ class Units:
 
 
 def _ranges(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+    """Number of each hash's range.  An anchor is the least hash of a window, so hashes are mixed anew to spread evenly."""
+    return ((mixed(h * _BASE) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _by_range(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """(stable order by range, where each range begins and ends in it)."""
+    order = np.argsort(bucket, kind="stable")
+    edge = np.append(_firsts(bucket[order]), len(order)).tolist()
+    return order, list(zip(edge[:-1], edge[1:], strict=True))
 
 
 def _firsts(*keys: np.ndarray) -> np.ndarray:
@@ -170,38 +182,48 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def by_document(ids: np.ndarray, *values: np.ndarray) -> pa.Table:
-    """(id, found): the values of each id as one binary."""
-    order = np.argsort(ids, kind="stable")
-    ids, values = ids[order], [v[order] for v in values]
-    first = _firsts(ids)
+def by_document(ids: np.ndarray, tags: np.ndarray, values: np.ndarray) -> pa.Table:
+    """(id, tag, found): the values of each document as one binary."""
+    order = np.lexsort((tags, ids))
+    ids, tags, values = ids[order], tags[order], values[order]
+    first = _firsts(ids, tags)
     ends = np.append(first, len(ids))[1:]
-    found = [b"".join(v[i:j].tobytes() for v in values) for i, j in zip(first.tolist(), ends.tolist(), strict=True)]
-    return pa.table({"id": pa.array(ids[first], pa.int64()), "found": pa.array(found, pa.binary())})
+    found = [values[i:j].tobytes() for i, j in zip(first.tolist(), ends.tolist(), strict=True)]
+    return pa.table({"id": pa.array(ids[first], pa.int64()), "tag": pa.array(tags[first].view(np.int64), pa.int64()), "found": pa.array(found, pa.binary())})
+
+
+def _less(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, differences from it) of ids, to be packed."""
+    low = d.min()
+    return np.array([low], np.int64).view(np.uint64), d.astype(np.uint64) - low.astype(np.uint64)
+
+
+def _more(low: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return (d.astype(np.uint64) + low.astype(np.uint64)[0]).view(np.int64)
 
 
 def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) -> DataFrame:
-    """(id, found): hashes of the anchors that other documents have as well (``within``: or the same again)."""
+    """(id, tag, found): hashes of the anchors that other documents have as well (``within``: or the same again)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1, TOGETHER):
+        for batch in pieces(batches, 2, TOGETHER):
             if batch.column(0).null_count:
                 batch = batch.filter(batch.column(0).is_valid())
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = flat(batch.column(1))
+            ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            data, offsets = flat(batch.column(2))
             parts = []
             for i, j in slices(offsets):
                 values, own, _, _ = units.read(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 _, h, doc, _, _ = anchors(values, own, units.length, units.sample)
-                parts.append((h, ids[doc + i]))
+                parts.append((h, ids[doc + i], tags[doc + i].view(np.uint64)))
             if not parts:
                 continue
-            h, d = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            first = _firsts(h, d)
+            h, d, t = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((t, d, h))
+            h, d, t = h[order], d[order], t[order]
+            first = _firsts(h, d, t)
             again = np.diff(np.append(first, len(h))) > 1
-            h, d = h[first], d[first]
+            h, d, t = h[first], d[first], t[first]
             first = _firsts(h)
             size = np.diff(np.append(first, len(h)))
             here = size > 1
@@ -210,45 +232,46 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
             settled = np.repeat(here, size)
             out = []
             if settled.any():
-                low = int(d[settled].min())
-                out.append((-1 - low % buckets, pack(np.array([low], np.uint64), h[settled], (d[settled] - low).astype(np.uint64))))
-            h, d, bucket = h[first], d[first], _ranges(h[first], buckets)
-            edge = np.append(_firsts(bucket), len(h))
-            for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                low = int(d[i:j].min())
+                low, more = _less(d[settled])
+                out.append((-1 - int(low[0]) % buckets, pack(low, h[settled], more, t[settled])))
+            h, d, t = h[first], d[first], t[first]
+            bucket = _ranges(h, buckets)
+            order, edges = _by_range(bucket)
+            h, d, t, here, bucket = h[order], d[order], t[order], here[order], bucket[order]
+            for i, j in edges:
                 steps = np.diff(h[i:j], prepend=np.uint64(0))
-                out.append((int(bucket[i]), pack(np.array([low], np.uint64), steps[:1], steps[1:], (d[i:j] - low).astype(np.uint64), np.packbits(here[i:j]))))
+                out.append((int(bucket[i]), pack(*_less(d[i:j]), t[i:j], steps[:1], steps[1:], np.packbits(here[i:j]))))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "data"])
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         rows = [unpack(x.as_py()) for x in table.column("data")]
         if key[0].as_py() < 0:
-            h = np.concatenate([r[1].astype(np.uint64) for r in rows])
-            d = np.concatenate([r[2].astype(np.int64) + int(r[0][0]) for r in rows])
-            return by_document(d, h)
-        h = np.concatenate([np.cumsum(np.concatenate([r[1], r[2]]), dtype=np.uint64) for r in rows])
-        d = np.concatenate([r[3].astype(np.int64) + int(r[0][0]) for r in rows])
-        here = np.concatenate([np.unpackbits(r[4], count=len(r[3])) for r in rows]).astype(bool)
+            h, t = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (1, 3))
+            return by_document(np.concatenate([_more(r[0], r[2]) for r in rows]), t, h)
+        h = np.concatenate([np.cumsum(np.concatenate([r[3], r[4]]), dtype=np.uint64) for r in rows])
+        d = np.concatenate([_more(r[0], r[1]) for r in rows])
+        t = np.concatenate([r[2].astype(np.uint64) for r in rows])
+        here = np.concatenate([np.unpackbits(r[5], count=len(r[1])) for r in rows]).astype(bool)
         order = np.argsort(h, kind="stable")
-        h, d, here = h[order], d[order], here[order]
+        h, d, t, here = h[order], d[order], t[order], here[order]
         first = _firsts(h)
         size = np.diff(np.append(first, len(h)))
         report = np.repeat(size > 1, size) & ~here
-        return by_document(d[report], h[report])
+        return by_document(d[report], t[report], h[report])
 
-    sent = docs.select("id", "text").mapInArrow(send, "bucket long, data binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "id long, found binary")
+    sent = docs.select("id", "tag", "text").mapInArrow(send, "bucket long, data binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "id long, tag long, found binary")
 
 
 class Entries:
     """Shared anchors with their contexts; one array element each, context bytes in one buffer.
 
-    h: anchor's hash; d: document; at: first unit of the context in the document; left: units before
+    h: anchor's hash; d, t: document's id and tag; at: first unit of the context in the document; left: units before
     the anchor; n: units of the context; a, b: its bytes in ``data``; many: stands for equal contexts
     of other places as well.
     """
 
-    names = ("h", "d", "at", "left", "n", "a", "b", "many")
+    names = ("h", "d", "t", "at", "left", "n", "a", "b", "many")
 
     def __init__(self, data: np.ndarray, **arrays: np.ndarray):
         self.data = data
@@ -277,16 +300,14 @@ class Entries:
         return Entries(np.concatenate([p.data for p in parts]), **arrays)
 
     def packed(self) -> bytes:
-        low = int(self.d.min())
-        d = (self.d - low).astype(np.uint64)
-        return pack(np.array([low], np.uint64), self.h, d, self.at, self.left, self.n, self.b - self.a, np.packbits(self.many), self.data)
+        return pack(*_less(self.d), self.t, self.h, self.at, self.left, self.n, self.b - self.a, np.packbits(self.many), self.data)
 
     @staticmethod
     def unpacked(raw: bytes) -> Entries:
-        low, h, d, at, left, n, size, many, data = unpack(raw)
+        low, d, t, h, at, left, n, size, many, data = unpack(raw)
         b = np.cumsum(size, dtype=np.int64)
         return Entries(
-            data, h=h.astype(np.uint64), d=d.astype(np.int64) + int(low[0]), at=at.astype(np.int64), left=left.astype(np.int64),
+            data, h=h.astype(np.uint64), d=_more(low, d), t=t.astype(np.uint64), at=at.astype(np.int64), left=left.astype(np.int64),
             n=n.astype(np.int64), a=b - size, b=b, many=np.unpackbits(many, count=len(h)).astype(bool),
         )
 
@@ -301,27 +322,42 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray)
     return np.logical_and.reduceat(same, np.minimum(first, len(same) - 1)) | (size == 0)
 
 
-def settle(e: Entries, within: bool) -> tuple[Entries, np.ndarray]:
+#: Puts the contexts of each anchor in order: (order, whether each equals the one before it).
+Sort = Callable[[Entries], tuple[np.ndarray, np.ndarray]]
+
+
+def sort_by_hash(e: Entries) -> tuple[np.ndarray, np.ndarray]:
+    """Equal contexts next to each other, by their hashes and then their bytes."""
+    code = byte_hash(e.data).of(e.a, e.b - e.a)
+    order = np.lexsort((e.n, code, e.h))
+    s, code = e.take(order), code[order]
+    equal = np.zeros(len(s), bool)
+    if len(s):
+        equal[1:] = (s.h[1:] == s.h[:-1]) & (code[1:] == code[:-1]) & (s.n[1:] == s.n[:-1]) & ((s.b - s.a)[1:] == (s.b - s.a)[:-1])
+        at = np.flatnonzero(equal)
+        equal[at] = same_bytes(s.data, s.a[at - 1], s.a[at], (s.b - s.a)[at])
+    return order, equal
+
+
+def settle(e: Entries, within: bool, sort: Sort) -> tuple[Entries, np.ndarray]:
     """What still has to go to the range, and which entries are covered as a whole already.
 
     Equal contexts settle each other: all but the smallest document's are covered, or all of them
     if repeats count ``within`` a document; then one stands for them.
     """
-    code = byte_hash(e.data).of(e.a, e.b - e.a)
-    order = np.lexsort((e.at, e.d, e.n, code, e.h))
+    order, equal = sort(e)
+    # the anchor's place is part of what makes two contexts alike
+    kind = np.empty(len(e), np.int64)
+    kind[order] = np.cumsum(~equal)
+    order = np.lexsort((e.at, e.t, e.d, e.left, kind))
     s = e.take(order)
-    code = code[order]
-    like = np.zeros(len(s), bool)
-    if len(s):
-        like[1:] = (s.h[1:] == s.h[:-1]) & (code[1:] == code[:-1]) & (s.n[1:] == s.n[:-1]) & (s.left[1:] == s.left[:-1]) & ((s.b - s.a)[1:] == (s.b - s.a)[:-1])
-        at = np.flatnonzero(like)
-        like[at] = same_bytes(s.data, s.a[at - 1], s.a[at], (s.b - s.a)[at])
-    first = np.flatnonzero(~like)
+    first = _firsts(kind[order], s.left)
     size = np.diff(np.append(first, len(s)))
     if within:
-        # rows with one id are one document: the same place does not repeat
+        # equal rows are one document: the same place does not repeat
         moved = np.zeros(len(s), bool)
-        moved[1:] = like[1:] & ((s.d[1:] != s.d[:-1]) | (s.at[1:] != s.at[:-1]))
+        moved[1:] = (s.d[1:] != s.d[:-1]) | (s.t[1:] != s.t[:-1]) | (s.at[1:] != s.at[:-1])
+        moved[first] = False
         many = np.logical_or.reduceat(moved, first) if len(s) else moved
         covered = np.repeat(many, size)
         rest = s.take(first)
@@ -362,13 +398,14 @@ def crowded(docs: DataFrame, units: Units) -> np.ndarray:
     some = docs.where(F.col("id").isNotNull() & (long | (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SAMPLED)) == 0)))
     found = some.select("text", F.when(long, 1).otherwise(SAMPLED).cast("long").alias("weight")).mapInArrow(send, "h long, code long, weight long")
     found = found.groupBy("h", "code").agg(F.min("weight").alias("weight")).groupBy("h").agg(F.sum("weight").alias("n"))
-    return np.array(sorted(r["h"] for r in found.where(F.col("n") >= PIECE).select("h").collect()), np.int64).view(np.uint64)
+    most = found.where(F.col("n") >= PIECE).orderBy(F.col("n").desc(), "h").limit(MOST_CROWDED)
+    return np.array(sorted(r["h"] for r in most.select("h").collect()), np.int64).view(np.uint64)
 
 
-def settle_windows(digest: np.ndarray, d: np.ndarray, at: np.ndarray, many: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def settle_windows(digest: np.ndarray, d: np.ndarray, t: np.ndarray, at: np.ndarray, many: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(windows that still have to be sent, which of these stand for several places, which windows are covered), as in ``settle``."""
-    order = np.lexsort((at, d, digest[:, 1], digest[:, 0]))
-    s, d, at, many = digest[order], d[order], at[order], many[order]
+    order = np.lexsort((at, t, d, digest[:, 1], digest[:, 0]))
+    s, d, t, at, many = digest[order], d[order], t[order], at[order], many[order]
     first = _firsts(s[:, 0], s[:, 1])
     size = np.diff(np.append(first, len(s)))
     out = np.zeros(len(s), bool)
@@ -377,13 +414,13 @@ def settle_windows(digest: np.ndarray, d: np.ndarray, at: np.ndarray, many: np.n
         out[order] = late
         return order[~late], many[~late], out
     moved = many.copy()
-    moved[1:] |= (s[1:] == s[:-1]).all(1) & ((d[1:] != d[:-1]) | (at[1:] != at[:-1]))
+    moved[1:] |= (s[1:] == s[:-1]).all(1) & ((d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (at[1:] != at[:-1]))
     several = np.logical_or.reduceat(moved, first) if len(s) else moved
     out[order] = np.repeat(several, size)
     return order[first], several, out
 
 
-def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, within: bool, crowd: np.ndarray) -> DataFrame:
+def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, within: bool, crowd: np.ndarray, sort: Sort) -> DataFrame:
     """(bucket, data): contexts by hash range, and from ``buckets`` on windows of crowded anchors; below 0 the spans that the batch settled itself."""
 
     def windows(text: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -396,13 +433,14 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
         return np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in parts), "<u8").reshape(-1, 2)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1, TOGETHER):
-            if batch.column(2).null_count:
-                batch = batch.filter(batch.column(2).is_valid())
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = flat(batch.column(1))
-            lists = batch.column(2)
-            kept, done, dealt, whole = [], [], [], (np.zeros(0, np.int64),) * 3
+        for batch in pieces(batches, 2, TOGETHER):
+            if batch.column(3).null_count:
+                batch = batch.filter(batch.column(3).is_valid())
+            ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            tags = tags.view(np.uint64)
+            data, offsets = flat(batch.column(2))
+            lists = batch.column(3)
+            kept, done, dealt = [], [], []
             for i, j in slices(offsets):
                 text = data[offsets[i] : offsets[j]]
                 values, own, start, end = units.read(text, offsets[i : j + 1] - offsets[i])
@@ -412,7 +450,7 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
                     size = n[hot]
                     step = np.repeat(w[hot] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                     of = np.repeat(doc[hot], size)
-                    dealt.append((windows(text, start, end, step), ids[of + i], step - own[of]))
+                    dealt.append((windows(text, start, end, step), ids[of + i], tags[of + i], step - own[of]))
                 wanted = [np.frombuffer(b"".join(x.as_py()), np.uint64) for x in lists[i:j]]
                 salt = np.repeat(np.arange(j - i, dtype=np.uint64), [len(x) for x in wanted]) * _BASE
                 hit = np.isin(h ^ (doc.astype(np.uint64) * _BASE), np.concatenate(wanted) ^ salt) if len(h) else np.zeros(0, bool)
@@ -422,91 +460,97 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
                     continue
                 low = np.maximum(own[doc], p - (units.length - units.sample))
                 high = np.minimum(own[doc + 1], p + units.length)
-                e = Entries(text, h=h, d=ids[doc + i], at=low - own[doc], left=p - low, n=high - low, a=start[low], b=end[high - 1], many=np.zeros(len(p), bool))
-                rest, covered = settle(e, within)
-                done.append((e.d[covered], e.at[covered], (e.at + e.n)[covered]))
+                e = Entries(text, h=h, d=ids[doc + i], t=tags[doc + i], at=low - own[doc], left=p - low, n=high - low, a=start[low], b=end[high - 1], many=np.zeros(len(p), bool))
+                rest, covered = settle(e, within, sort)
+                done.append((e.d[covered], e.t[covered], e.at[covered], e.n[covered]))
                 kept.append(rest.compact())
             out = []
             if dealt:
-                digest, d, at = (np.concatenate(x) for x in zip(*dealt, strict=True))
-                rest, many, gone = settle_windows(digest, d, at, np.zeros(len(d), bool), within)
-                done.append((d[gone], at[gone], at[gone] + units.length))
-                digest, d, at = digest[rest], d[rest], at[rest]
-                bucket = _ranges(digest[:, 0] >> np.uint64(16), buckets)
-                order = np.argsort(bucket, kind="stable")
-                edge = np.append(_firsts(bucket[order]), len(order))
-                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                digest, d, t, at = (np.concatenate(x) for x in zip(*dealt, strict=True))
+                rest, many, gone = settle_windows(digest, d, t, at, np.zeros(len(d), bool), within)
+                done.append((d[gone], t[gone], at[gone], np.full(int(gone.sum()), units.length)))
+                digest, d, t, at = digest[rest], d[rest], t[rest], at[rest]
+                bucket = _ranges(digest[:, 0], buckets)
+                order, edges = _by_range(bucket)
+                for i, j in edges:
                     k = order[i:j]
-                    low = int(d[k].min())
-                    out.append((buckets + int(bucket[k[0]]), pack(np.array([low], np.uint64), digest[k, 0], digest[k, 1], (d[k] - low).astype(np.uint64), at[k], many[k])))
+                    out.append((buckets + int(bucket[k[0]]), pack(*_less(d[k]), t[k], digest[k, 0], digest[k, 1], at[k], many[k])))
             if done:
-                d, a, b = whole = tuple(np.concatenate(x) for x in zip(*done, strict=True))
-            if len(whole[0]):
-                low = int(d.min())
-                out.append((-1 - low % buckets, pack(np.array([low], np.uint64), (d - low).astype(np.uint64), a, b - a)))
+                d, t, at, n = (np.concatenate(x) for x in zip(*done, strict=True))
+                if len(d):
+                    low, more = _less(d)
+                    out.append((-1 - int(low[0]) % buckets, pack(low, more, t, at, n)))
             if kept:
                 e = Entries.join(kept)
                 e = e.take(np.argsort(e.h, kind="stable"))
                 bucket = _ranges(e.h, buckets)
-                edge = np.append(_firsts(bucket), len(e))
-                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                    out.append((int(bucket[i]), e.take(slice(i, j)).compact().packed()))
+                order, edges = _by_range(bucket)
+                for i, j in edges:
+                    out.append((int(bucket[order[i]]), e.take(order[i:j]).compact().packed()))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "data"])
 
-    joined = docs.join(flagged.groupBy("id").agg(F.collect_list("found").alias("found")), "id", "left")
-    return joined.select("id", "text", "found").mapInArrow(send, "bucket long, data binary")
+    lists = flagged.groupBy("id", "tag").agg(F.collect_list("found").alias("found"))
+    return docs.join(lists, ["id", "tag"], "left").select("id", "tag", "text", "found").mapInArrow(send, "bucket long, data binary")
 
 
-def join_windows(d: np.ndarray, entry: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first, end) of the spans of windows that begin at ``at``; ``d`` is indexed by ``entry``."""
+def join_windows(entry: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, first, end) of the spans of windows that begin at ``at``."""
     by = np.lexsort((at, entry))
     entry, at = entry[by], at[by]
     first = np.flatnonzero(np.concatenate([[True], (entry[1:] != entry[:-1]) | (at[1:] > at[:-1] + 1)])[: len(at)])
     last = np.append(first, len(at))[1:] - 1
-    return d[entry[first]], at[first], at[last] + length
+    return entry[first], at[first], at[last] + length
 
 
+#: From the contexts of some anchors, (entry, first unit, end unit) of the spans that repeated windows cover.
 Resolve = Callable[[Entries], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve) -> DataFrame:
-    """(id, spans): for each document with any, the spans of units that repeated windows cover."""
-    spark = docs.sparkSession
-    buckets = max(LEAST_RANGES, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def documents(docs: DataFrame) -> DataFrame:
+    """(id, text, ...) with the documents' tags."""
+    again = docs.where("id is not null").groupBy("id").count().where("count > 1")
+    # rows without an id take no part, and are spread by their text
+    alone = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    return docs.withColumn("tag", alone if again.isEmpty() else F.xxhash64("text"))
+
+
+def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve, sort: Sort = sort_by_hash) -> DataFrame:
+    """(id, tag, spans): for each of ``documents`` with any, the spans of units that repeated windows cover."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_RANGES, -(-size // RANGE_BYTES))
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             rows = [unpack(x.as_py()) for x in table.column("data")]
-            d = np.concatenate([r[1].astype(np.int64) + int(r[0][0]) for r in rows])
-            a = np.concatenate([r[2] for r in rows]).astype(np.int64)
-            return by_document(d, np.stack([a, a + np.concatenate([r[3] for r in rows]).astype(np.int64)], 1))
+            d = np.concatenate([_more(r[0], r[1]) for r in rows])
+            t, a, n = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (2, 3, 4))
+            return by_document(d, t, np.stack([a, a + n], 1).astype(np.int64))
         if key[0].as_py() >= buckets:
             rows = [unpack(x.as_py()) for x in table.column("data")]
-            digest = np.stack([np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (1, 2)], 1)
-            d = np.concatenate([r[3].astype(np.int64) + int(r[0][0]) for r in rows])
-            at = np.concatenate([r[4].astype(np.int64) for r in rows])
-            gone = settle_windows(digest, d, at, np.concatenate([r[5].astype(bool) for r in rows]), within)[2]
-            return by_document(d[gone], np.stack([at[gone], at[gone] + units.length], 1))
+            d = np.concatenate([_more(r[0], r[1]) for r in rows])
+            t, x, y, at = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (2, 3, 4, 5))
+            at = at.astype(np.int64)
+            gone = settle_windows(np.stack([x, y], 1), d, t, at, np.concatenate([r[6].astype(bool) for r in rows]), within)[2]
+            return by_document(d[gone], t[gone], np.stack([at[gone], at[gone] + units.length], 1))
         e = Entries.join([Entries.unpacked(x.as_py()) for x in table.column("data")])
         e = e.take(np.argsort(e.h, kind="stable"))
         first = _firsts(e.h)
         size = np.diff(np.append(first, len(e)))
         e = e.take(np.flatnonzero(np.repeat(size > 1, size)))  # `settle` covered what a lone entry stands for
         first = _firsts(e.h)
-        ends, at, found = np.append(first, len(e))[1:], 0, []
+        ends, at, found = np.append(first, len(e))[1:], 0, [(np.zeros(0, np.int64),) * 3]
         while at < len(e):
             i = int(np.searchsorted(ends, at + PIECE, "right"))
             to = int(ends[i - 1]) if i and ends[i - 1] > at else int(ends[i])
-            found.append(resolve(e.take(slice(at, to)).compact()))
+            entry, a, b = resolve(e.take(slice(at, to)).compact())
+            found.append((entry + at, a, b))
             at = to
-        if not found:
-            return by_document(np.zeros(0, np.int64), np.zeros((0, 2), np.int64))
-        d, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return by_document(d, np.stack([a, b], 1))
+        entry, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        return by_document(e.d[entry], e.t[entry], np.stack([a, b], 1))
 
     flagged = shared_anchors(docs, units, buckets, within)
-    spans = entries(docs, flagged, units, buckets, within, crowded(docs, units)).groupBy("bucket").applyInArrow(meet, "id long, found binary")
-    return spans.groupBy("id").agg(F.collect_list("found").alias("spans"))
+    spans = entries(docs, flagged, units, buckets, within, crowded(docs, units), sort).groupBy("bucket").applyInArrow(meet, "id long, tag long, found binary")
+    return spans.groupBy("id", "tag").agg(F.collect_list("found").alias("spans"))
 
 
 def mask(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
@@ -514,7 +558,7 @@ def mask(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
     change = np.zeros(offsets[-1] + 1, np.int64)
     for i, x in enumerate(spans):
         if x.is_valid:
-            pairs = np.frombuffer(b"".join(x.as_py()), np.int64).reshape(-1, 2) + offsets[i]
+            pairs = np.minimum(np.frombuffer(b"".join(x.as_py()), np.int64).reshape(-1, 2) + offsets[i], offsets[i + 1])
             np.add.at(change, pairs[:, 0], 1)
             np.subtract.at(change, pairs[:, 1], 1)
     return np.cumsum(change[:-1]) > 0

@@ -3,11 +3,11 @@
 Suffixes are sorted by merging, and comparing two of them takes the length of their common
 extension, which a binary search over polynomial prefix hashes finds in logarithmic time.  Suffixes
 that compare as equal are verified byte by byte.  ``passages`` brings together the suffixes that can
-be equal and cuts them to the ``length`` bytes that matter.
+be equal, at first within 8 MB of text and then in all of it, and cuts them to the bytes that matter.
 
 Defined results: a null or empty text, or one shorter than ``length``, keeps its bytes (none for
-null); of repeated rows with one id, both keep what neither shares with a smaller id; rows without
-an id are kept whole and remove nothing elsewhere; an empty table gives an empty result.
+null); rows with one id, whether their texts are equal or not, all keep what none shares with a smaller id;
+rows without an id are kept whole and remove nothing elsewhere; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelstone.llm.common import flat, slices
-from keelstone.llm.passages import Entries, PrefixHash, Units, byte_hash, covered, join_windows, mask, same_bytes
+from keelstone.llm.passages import Entries, PrefixHash, Units, byte_hash, covered, documents, join_windows, mask, same_bytes
 
 
 class Suffixes:
@@ -96,6 +96,14 @@ def _smallest(order: np.ndarray, equal: np.ndarray, d: np.ndarray) -> tuple[np.n
     return kind, least
 
 
+def suffix_order(e: Entries) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts of each anchor in suffix order, and which equal the one before them."""
+    by = np.argsort(e.h, kind="stable")
+    s = e.take(by)
+    order, equal = Suffixes(s.data, byte_hash(s.data), s.a, s.n).sort(s.h)
+    return by[order], equal
+
+
 def resolver(length: int):
     def resolve(e: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hashes = byte_hash(e.data)
@@ -103,7 +111,7 @@ def resolver(length: int):
         kind, least = _smallest(order, equal, e.d)
         # an equal context of a smaller document covers all windows of this one
         later = e.d > least[kind]
-        out = [(e.d[later], e.at[later], (e.at + e.n)[later])]
+        out = [(np.flatnonzero(later), e.at[later], (e.at + e.n)[later])]
         # one suffix for each window of each different context, if the anchor has several
         heads = order[~equal]
         h = e.h[heads]
@@ -136,7 +144,7 @@ def resolver(length: int):
         first = np.searchsorted(kind[own], hit_kind)
         count = np.searchsorted(kind[own], hit_kind, "right") - first
         entry = own[np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)]
-        out.append(join_windows(e.d, entry, e.at[entry] + np.repeat(hit_step, count), length))
+        out.append(join_windows(entry, e.at[entry] + np.repeat(hit_step, count), length))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     return resolve
@@ -148,8 +156,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     ``kept`` is binary, as removal works on bytes and can cut a character.
     """
     units = Units("bytes", length, sample)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), *[F.col(c).alias(f"_{c}") for c in carry])
-    spans = covered(rows, units, False, resolver(length))
+    rows = documents(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), *[F.col(c).alias(f"_{c}") for c in carry]))
+    spans = covered(rows, units, False, resolver(length), suffix_order)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,5 +187,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     out = T.StructType.fromDDL("id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     for c in carry:
         out.add(f"_{c}", docs.schema[c].dataType)
-    done = rows.join(spans, "id", "left").mapInArrow(cut, out)
+    done = rows.join(spans, ["id", "tag"], "left").mapInArrow(cut, out)
     return done.select(F.col("id").alias(id_col), *out.names[1:6], *[F.col(f"_{c}").alias(c) for c in carry])
