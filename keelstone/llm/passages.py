@@ -42,7 +42,7 @@ _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 #: Hash ranges at least, and bytes of text for each range beyond that; a range is what a task holds at once.
-LEAST_RANGES, RANGE_BYTES = 128, 16 << 20
+LEAST_RANGES, RANGE_BYTES = 16, 8 << 20
 
 #: Bytes of text whose anchors are settled together before they are sent.
 TOGETHER = 8 << 20
@@ -192,6 +192,22 @@ def by_document(ids: np.ndarray, tags: np.ndarray, values: np.ndarray) -> pa.Tab
     return pa.table({"id": pa.array(ids[first], pa.int64()), "tag": pa.array(tags[first].view(np.int64), pa.int64()), "found": pa.array(found, pa.binary())})
 
 
+def _narrow(h: np.ndarray) -> np.ndarray:
+    """48-bit hashes as six bytes each."""
+    return np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _hashes(found: list[bytes]) -> np.ndarray:
+    own = np.frombuffer(b"".join(found), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(own), 8), np.uint8)
+    out[:, :6] = own
+    return out.view("<u8")[:, 0]
+
+
+def _spans(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.stack([a, b], 1).astype(np.int32)
+
+
 def _less(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(least, differences from it) of ids, to be packed."""
     low = d.min()
@@ -247,7 +263,7 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
         rows = [unpack(x.as_py()) for x in table.column("data")]
         if key[0].as_py() < 0:
             h, t = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (1, 3))
-            return by_document(np.concatenate([_more(r[0], r[2]) for r in rows]), t, h)
+            return by_document(np.concatenate([_more(r[0], r[2]) for r in rows]), t, _narrow(h))
         h = np.concatenate([np.cumsum(np.concatenate([r[3], r[4]]), dtype=np.uint64) for r in rows])
         d = np.concatenate([_more(r[0], r[1]) for r in rows])
         t = np.concatenate([r[2].astype(np.uint64) for r in rows])
@@ -257,7 +273,7 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
         first = _firsts(h)
         size = np.diff(np.append(first, len(h)))
         report = np.repeat(size > 1, size) & ~here
-        return by_document(d[report], t[report], h[report])
+        return by_document(d[report], t[report], _narrow(h[report]))
 
     sent = docs.select("id", "tag", "text").mapInArrow(send, "bucket long, data binary")
     return sent.groupBy("bucket").applyInArrow(meet, "id long, tag long, found binary")
@@ -451,7 +467,7 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
                     step = np.repeat(w[hot] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                     of = np.repeat(doc[hot], size)
                     dealt.append((windows(text, start, end, step), ids[of + i], tags[of + i], step - own[of]))
-                wanted = [np.frombuffer(b"".join(x.as_py()), np.uint64) for x in lists[i:j]]
+                wanted = [_hashes(x.as_py()) for x in lists[i:j]]
                 salt = np.repeat(np.arange(j - i, dtype=np.uint64), [len(x) for x in wanted]) * _BASE
                 hit = np.isin(h ^ (doc.astype(np.uint64) * _BASE), np.concatenate(wanted) ^ salt) if len(h) else np.zeros(0, bool)
                 hit &= ~hot
@@ -524,14 +540,14 @@ def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve, sort:
             rows = [unpack(x.as_py()) for x in table.column("data")]
             d = np.concatenate([_more(r[0], r[1]) for r in rows])
             t, a, n = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (2, 3, 4))
-            return by_document(d, t, np.stack([a, a + n], 1).astype(np.int64))
+            return by_document(d, t, _spans(a, a + n))
         if key[0].as_py() >= buckets:
             rows = [unpack(x.as_py()) for x in table.column("data")]
             d = np.concatenate([_more(r[0], r[1]) for r in rows])
             t, x, y, at = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (2, 3, 4, 5))
             at = at.astype(np.int64)
             gone = settle_windows(np.stack([x, y], 1), d, t, at, np.concatenate([r[6].astype(bool) for r in rows]), within)[2]
-            return by_document(d[gone], t[gone], np.stack([at[gone], at[gone] + units.length], 1))
+            return by_document(d[gone], t[gone], _spans(at[gone], at[gone] + units.length))
         e = Entries.join([Entries.unpacked(x.as_py()) for x in table.column("data")])
         e = e.take(np.argsort(e.h, kind="stable"))
         first = _firsts(e.h)
@@ -546,7 +562,7 @@ def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve, sort:
             found.append((entry + at, a, b))
             at = to
         entry, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return by_document(e.d[entry], e.t[entry], np.stack([a, b], 1))
+        return by_document(e.d[entry], e.t[entry], _spans(a, b))
 
     flagged = shared_anchors(docs, units, buckets, within)
     spans = entries(docs, flagged, units, buckets, within, crowded(docs, units), sort).groupBy("bucket").applyInArrow(meet, "id long, tag long, found binary")
@@ -558,7 +574,7 @@ def mask(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
     change = np.zeros(offsets[-1] + 1, np.int64)
     for i, x in enumerate(spans):
         if x.is_valid:
-            pairs = np.minimum(np.frombuffer(b"".join(x.as_py()), np.int64).reshape(-1, 2) + offsets[i], offsets[i + 1])
+            pairs = np.minimum(np.frombuffer(b"".join(x.as_py()), np.int32).reshape(-1, 2) + offsets[i], offsets[i + 1])
             np.add.at(change, pairs[:, 0], 1)
             np.subtract.at(change, pairs[:, 1], 1)
     return np.cumsum(change[:-1]) > 0
