@@ -2,6 +2,12 @@
 
 A stage is a function of (spark, docs, sf_dir).  All but the last return the columns of ``documents``.
 ``sf_dir`` holds the ``labels`` table that the quality stage learns from.
+
+Defined results: an empty table gives an empty result of the same columns at every stage.  The quality stage scores
+a null text as an empty one.  The near-duplicate stage keeps rows without an id; rows that share an id are told
+apart by their texts, and of equal rows one stays.  The passage stage keeps rows without an id whole.  The mix has
+a source of its own for null sources, and leaves out texts without words, as it takes words; so the result has no
+row for them.  Columns beyond those of ``documents`` pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -9,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelstone.llm import bpe, mixing, quality, resemblance, suffix_dedup
+from keelstone.llm import bpe, mixing, quality, simhash, suffix_dedup
 from keelstone.llm.common import documents, staged
 
 
@@ -19,10 +25,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group linked by 0.8 of their five-word shingles or more; documents without an id stay."""
-    groups = resemblance.near_duplicates(docs)
-    leave = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group linked by 0.8 of their five-word shingles or more, that of smallest id; documents without an id stay."""
+    found = staged(simhash.similar(docs), "similar")
+    again = found.where("doc_id is not null").groupBy("doc_id", "text_key").count().where("count > 1")
+    leave = found.where("doc_id <> component_id or text_key <> head_key").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    kept = docs.join(leave, (docs["doc_id"] == leave["gone_id"]) & (F.xxhash64(docs["text"]) == leave["gone_key"]), "left_anti")
+    if again.isEmpty():
+        return kept
+    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
 
 
 def passage_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
