@@ -2,10 +2,12 @@
 
 Vectors with one label start together in every tree.  A node with more than ``leaf_rows`` vectors is split
 by random directions at the median of a bounded sample of it (``sample_rows``, chosen by hash), several
-levels at a time; a vector within ``spill`` of a threshold goes to both sides, and a direction that would put
-more than a quarter there isn't used.  The sample only places the thresholds: every vector is routed, and nodes are split until they are small.  A node that no longer
-shrinks is a dense cluster and stays whole; it is compared in blocks of ``leaf_rows``, which other tasks
-share, so no task holds more than two blocks.
+levels at a time; a vector within ``spill`` of a threshold goes to both sides.  Projections of unit vectors of d
+dimensions lie within about 1 / sqrt(d) of each other, so ``spill`` is given as a multiple of that.  A direction that would put
+more than ``MOST_SHARED`` on both sides isn't used, and the next one is tried.  The sample only places the thresholds: every
+vector is routed, and nodes are split until they are small.  A node that no longer shrinks, although several directions were tried, is a
+dense cluster, whose vectors are so close (a cosine of about 0.87 between most) that splitting would cost more comparisons than it saves.
+It is compared in blocks of ``block_rows`` that other tasks share, two at a time; as all its links have to be counted, that is all pairs of it.
 
 Within a leaf all cosines are computed.  A linked pair counts in the first leaf that it shares, known from
 the lists of leaves that travel with the vectors, so counts need no list of pairs.  Links leave a leaf as
@@ -31,7 +33,8 @@ from keelstone.llm.common import components, staged
 _MASK = (1 << 63) - 1
 
 #: A split that would send more of a node to both sides isn't made; the next direction may do better.
-MOST_SHARED = 0.25
+#: With a share s on both sides, leaves hold less than all pairs only if (1 + s)**2 is below 2.
+MOST_SHARED = 0.35
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -55,7 +58,7 @@ def _child(node: int, leaf: np.ndarray) -> np.ndarray:
 
 def _split(x: np.ndarray, planes: np.ndarray, spill: float, cuts: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
     """Rows of each leaf of a complete tree, and its thresholds (medians of ``x`` if none are given)."""
-    fit = cuts is None
+    fit, spill = cuts is None, spill / np.sqrt(x.shape[1])
     cuts = np.zeros(len(planes)) if fit else cuts
     level = [np.arange(len(x))]
     at = 0
@@ -82,8 +85,8 @@ def forest(vectors: DataFrame, trees: int, leaf_rows: int, spill: float, sample_
     def fit(key: tuple, table: pa.Table) -> pa.Table:
         tree, node, n = (k.as_py() for k in key)
         x = _units(_matrix(table.column("vector").combine_chunks()))
-        # a level leaves about 0.57 of a node's rows on a side
-        depth = min(6, max(1, int(np.ceil(np.log(n / leaf_rows) / 0.56))))
+        # a level leaves about 0.57 of a node's rows on a side; one direction more, should one not serve
+        depth = min(6, 1 + int(np.ceil(np.log(n / leaf_rows) / 0.56)))
         _, cuts = _split(x, _planes(tree, node, (1 << depth) - 1, x.shape[1]), spill, None)
         return pa.table({"tree": pa.array([tree], pa.int32()), "node": [node], "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
 
@@ -120,6 +123,10 @@ def forest(vectors: DataFrame, trees: int, leaf_rows: int, spill: float, sample_
         rows = staged(big.join(fitted, ["tree", "node"]).mapInArrow(route, "id long, tree int, node long, parent long").distinct(), "forest")
 
 
+#: Rows of a block that are compared with all of it at once.
+_ROWS = 512
+
+
 def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """For each of n rows the first row that it is connected with."""
     low = np.arange(n)
@@ -133,19 +140,13 @@ def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return low
 
 
-def link(vectors: DataFrame, leaves: DataFrame, threshold: float, leaf_rows: int) -> DataFrame:
+def link(vectors: DataFrame, leaves: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     """(a, b, n): with b null, n linked vectors more for class a; else an edge between a and b."""
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         tree, node, p, q = (k.as_py() for k in key)
-        x = _matrix(table.column("vector").combine_chunks())
+        x = _units(_matrix(table.column("vector").combine_chunks()))
         ids, copies, block = (table.column(c).to_numpy() for c in ("id", "copies", "block"))
-        norm = np.linalg.norm(x, axis=1)
-        i, j = np.nonzero(x @ x.T >= threshold * norm[:, None] * norm[None, :])
-        some = i < j
-        if p != q:
-            some &= block[i] != block[j]
-        i, j = i[some], j[some]
         # a pair is counted in the first leaf that both are in: none before this one may be common
         leaves = table.column("leaves").combine_chunks()
         who = np.repeat(np.arange(len(ids)), np.diff(leaves.offsets.to_numpy()))
@@ -155,13 +156,20 @@ def link(vectors: DataFrame, leaves: DataFrame, threshold: float, leaf_rows: int
         column = np.unique(np.stack([trees[before], nodes[before]]), axis=1, return_inverse=True)[1].ravel()
         member = np.zeros((len(ids), int(column.max()) + 1 if len(column) else 1), np.float32)
         member[who[before], column] = 1
-        new = (member @ member.T)[i, j] == 0
-        count = np.zeros(len(ids), np.int64)
-        np.add.at(count, i[new], copies[j[new]])
-        np.add.at(count, j[new], copies[i[new]])
-        some = np.flatnonzero(count)
-        low = _spanning(len(ids), i, j)
-        tied = np.flatnonzero(low != np.arange(len(ids)))
+        count, low = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for at in range(0, len(ids), _ROWS):
+            near = x[at : at + _ROWS] @ x.T >= threshold
+            near &= np.arange(at, min(at + _ROWS, len(ids)))[:, None] < np.arange(len(ids))
+            if p != q:
+                near &= block[at : at + _ROWS, None] != block
+            i, j = np.nonzero(near)
+            new = (member[at : at + _ROWS] @ member.T)[i, j] == 0
+            i += at
+            np.add.at(count, i[new], copies[j[new]])
+            np.add.at(count, j[new], copies[i[new]])
+            tied = np.flatnonzero(low != np.arange(len(ids)))
+            low = _spanning(len(ids), np.concatenate([i, tied]), np.concatenate([j, low[tied]]))
+        some, tied = np.flatnonzero(count), np.flatnonzero(low != np.arange(len(ids)))
         return pa.table(
             {
                 "a": pa.array(np.concatenate([ids[some], ids[tied]]), pa.int64()),
@@ -172,7 +180,7 @@ def link(vectors: DataFrame, leaves: DataFrame, threshold: float, leaf_rows: int
 
     lists = leaves.groupBy("id").agg(F.collect_set(F.struct("tree", "node")).alias("leaves"))
     rows = leaves.where("n > 1").join(vectors.select("id", "vector", "copies").join(lists, "id"), "id")
-    rows = rows.withColumn("blocks", F.expr(f"cast((n + {leaf_rows - 1}) div {leaf_rows} as int)")).withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+    rows = rows.withColumn("blocks", F.expr(f"cast((n + {block_rows - 1}) div {block_rows} as int)")).withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
     rows = rows.select("tree", "node", "p", "q", "id", "copies", "block", "vector", "leaves")
     return rows.groupBy("tree", "node", "p", "q").applyInArrow(compare, "a long, b long, n long")
@@ -180,7 +188,7 @@ def link(vectors: DataFrame, leaves: DataFrame, threshold: float, leaf_rows: int
 
 def near_duplicates(
     table: DataFrame, vector: str = "embedding", id_col: str = "vec_id", label: str = "label", threshold: float = 0.93,
-    trees: int = 6, leaf_rows: int = 512, spill: float = 0.02, sample_rows: int = 2048,
+    trees: int = 6, leaf_rows: int = 512, spill: float = 0.16, sample_rows: int = 2048, block_rows: int = 2048,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) of every row; ``id_col`` must be an integer column."""
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).alias("vector"))
@@ -190,7 +198,7 @@ def near_duplicates(
     # the smallest id of two classes can be the same only if rows repeat an id with another vector
     vectors = staged(classes.select(F.col("rep").alias("id"), F.xxhash64("label", F.size("vector")).alias("root"), "vector", "copies"), "vectors")
     leaves = staged(forest(vectors, trees, leaf_rows, spill, sample_rows), "leaves")
-    found = staged(link(vectors, leaves, threshold, leaf_rows), "links")
+    found = staged(link(vectors, leaves, threshold, block_rows), "links")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
     named = components(found.where("b is not null"))
     info = vectors.select("id", "copies").join(counts, F.col("id") == F.col("a"), "left").join(named, F.col("id") == F.col("node"), "left")
