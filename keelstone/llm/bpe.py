@@ -4,13 +4,12 @@ A text is cut by the tokenizer's pattern.  A task keeps a bounded memo of the pi
 become rows in a DuckDB database of the worker.  A recursive query joins those rows with the merge table
 and contracts, in every step, each piece's pair of least rank (the leftmost, among equals), until no
 pair can merge.  A row is a pair of neighbouring tokens with the places of both, so that a step needs no
-sorting: the contracted pair goes, and its two neighbours take the new token.  A second query joins the
-tokens with the vocabulary and decodes each piece by ordered aggregation.  Texts are put together
-from their pieces' ids, and decoded from them, by position.
+sorting: the contracted pair goes, and its two neighbours take the new token.  Texts are put together from their
+pieces' ids.  A second query joins the ids of whole texts with the vocabulary and decodes them by ordered aggregation.
 
 Defined results: a null or empty text has no ids; repeated rows are encoded alike; an empty table gives
-an empty result.  Special tokens are ordinary text.  A very long piece without any break takes about a step for
-each different merge in it.
+an empty result.  Special tokens are ordinary text.  A piece may be of any length (up to Arrow's 2 GB); one without any
+break takes about a step for each different merge in it, a run of one character a step for each doubling.
 """
 
 from __future__ import annotations
@@ -50,8 +49,11 @@ with recursive steps(step, w, lp, rp, l, r, k) as (
 last as (select w, max(step) step from steps group by w)
 select w, rp p, r t from steps join last using (w, step)"""
 
-#: Bytes up to which a piece takes the steps above; longer ones contract all pairs of the least rank at once.
+#: Bytes up to which a piece takes the steps above, where a place needs 22 bits at most; longer ones contract all pairs
+#: of the least rank at once, which gives the same tokens in fewer steps.
 SHORT = 64
+#: Bytes of texts whose ids are decoded by one query.
+DECODED = 1 << 21
 #: Rows that the steps of long pieces may make before their last state is taken as a new start.
 MOST_ROWS = 4_000_000
 
@@ -59,11 +61,11 @@ MOST_ROWS = 4_000_000
 # is what single steps from the left would do next, unless the new token can merge at a lower rank than its own.
 _LONG_STEPS = """
 with recursive steps(step, w, lp, rp, l, r, k) as (
-    select 0, w, lp, rp, l, r, ranked(n, lp, rp) from pairs left join merges using (l, r)
+    select 0, w, lp, rp, l, r, n from pairs left join merges using (l, r)
     union all
-    select step, w, lp, rp, l, r, ranked(n, lp, rp) from (
-        with least as (select w, min(k >> 44) n from steps where step < {limit} group by w having min(k) is not null),
-            equal as (select s.w, lp, rp, n::int n, lag(rp) over (partition by s.w order by lp) before from steps s join least b on s.w = b.w and s.k >> 44 = n),
+    select step, w, lp, rp, l, r, n from (
+        with least as (select w, min(k) n from steps where step < {limit} group by w having min(k) is not null),
+            equal as (select s.w, lp, rp, n, lag(rp) over (partition by s.w order by lp) before from steps s join least b on s.w = b.w and s.k = n),
             chains as (select *, sum((before is null or before <> lp)::int) over (partition by w order by lp) chain from equal),
             chosen as (select w, lp, rp, n from (select *, row_number() over (partition by w, chain order by lp) i, row_number() over (partition by w order by lp) j from chains)
                 where i % 2 = 1 and (j = 1 or n not in (select n from inverting)))
@@ -88,7 +90,7 @@ class Vocabulary:
         self._table("merges", pa.table(columns, ["l", "r", "n"]))
         inverting = sorted({x for l, r, n in merges for x in (l, r) if x > n})
         self._table("inverting", pa.table({"n": pa.array(inverting, pa.int32())}))
-        self._table("vocabulary", pa.table({"t": pa.array(tokens.values(), pa.int32()), "hex": pa.array([t.hex() for t in tokens])}))
+        self._table("vocabulary", pa.table({"t": pa.array(tokens.values(), pa.int32()), "b": pa.array(list(tokens), pa.binary())}))
         self.db.execute("create macro ranked(n, lp, rp) as (n::bigint << 44) | (lp::bigint << 22) | rp")
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -96,8 +98,8 @@ class Vocabulary:
         self.db.execute(f"create or replace table {name} as select * from incoming")
         self.db.unregister("incoming")
 
-    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, ids of each piece, bytes decoded from them, bytes of each piece)."""
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each piece)."""
         data, offsets = flat(pieces)
         data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         size = np.diff(offsets)
@@ -117,13 +119,26 @@ class Vocabulary:
             self.db.execute("insert into tokens select w, rp, r from state where w not in (select w from open)")
             self.db.execute("create or replace table pairs as select w, lp, rp, l, r from state where w in (select w from open)")
         ids = self.db.sql("select w, t from tokens order by w, p").to_arrow_table()
-        decoded = self.db.sql("select w, string_agg(hex, '' order by p) hex from tokens join vocabulary using (t) group by w order by w").to_arrow_table()
-        hexes = decoded.column("hex").to_pylist()
         counts = np.bincount(ids.column("w").to_numpy(), minlength=len(pieces))
         for name in ("pairs", "tokens", "state", "open"):  # a worker that waits for its next task holds the merge table only
             self.db.execute(f"drop table if exists {name}")
-        raw = np.frombuffer(bytes.fromhex("".join(hexes)), np.uint8)
-        return ids.column("t").to_numpy().astype(np.uint32), counts, raw, np.array([len(h) // 2 for h in hexes], np.int64)
+        return ids.column("t").to_numpy().astype(np.uint32), counts
+
+    def decode(self, texts: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each text's ids."""
+        size = np.array([len(x) for x in texts])
+        rows = {"w": np.repeat(np.arange(len(texts), dtype=np.int32), size), "p": np.arange(size.sum(), dtype=np.int32), "t": np.concatenate(texts).astype(np.int32)}
+        self.db.register("incoming", pa.table(rows))
+        found = self.db.sql("select w, list(b order by p) own from incoming join vocabulary using (t) group by w order by w").to_arrow_table().combine_chunks()
+        self.db.unregister("incoming")
+        out = [b""] * len(texts)
+        for chunk in found.to_batches():
+            data, ends = flat(chunk.column("own").flatten())
+            ends = ends[np.concatenate([[0], np.cumsum(chunk.column("own").value_lengths().to_numpy())])]
+            raw = data[ends[0] : ends[-1]].tobytes()
+            for w, a, b in zip(chunk.column("w").to_pylist(), (ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist(), strict=True):
+                out[w] = raw[a:b]
+        return out
 
 
 @lru_cache(2)
@@ -142,10 +157,10 @@ class _Store:
         self.start = np.concatenate([self.start, len(self.data) + np.cumsum(size) - size])
         self.data, self.size = np.concatenate([self.data, data]), np.concatenate([self.size, size])
 
-    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def gather(self, which: np.ndarray) -> np.ndarray:
         size = self.size[which]
         ends = np.concatenate([[0], np.cumsum(size)])
-        return self.data[np.arange(ends[-1]) + np.repeat(self.start[which] - ends[:-1], size)], ends
+        return self.data[np.arange(ends[-1]) + np.repeat(self.start[which] - ends[:-1], size)]
 
 
 class _Memo(dict):
@@ -166,12 +181,12 @@ def encode(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared.value)
         cut = regex.compile(pattern).findall
-        memo, ids, raw = _Memo(), _Store(np.uint32), _Store(np.uint8)
+        memo, ids = _Memo(), _Store(np.uint32)
         for batch in batches:
             column = batch.column(0).fill_null("")
             for i, j in slices(flat(column)[1], 8 << 20):
                 if len(memo) > MEMO:
-                    memo, ids, raw = _Memo(), _Store(np.uint32), _Store(np.uint8)
+                    memo, ids = _Memo(), _Store(np.uint32)
                 which, counts = [], []
                 for x in column[i:j]:
                     pieces = cut(x.as_py())
@@ -180,13 +195,10 @@ def encode(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_i
                 new = pa.array(islice(memo, len(ids.size), None), pa.string())
                 found = [vocabulary.encode(new[a:b]) for a, b in slices(flat(new)[1], TOGETHER)]
                 if found:
-                    new_ids, n_ids, new_raw, n_raw = (np.concatenate(x) for x in zip(*found, strict=True))
-                    ids.add(new_ids, n_ids)
-                    raw.add(new_raw, n_raw)
-                packed, decoded = [], []
-                for own in which:
-                    packed.append(ids.gather(own)[0].astype("<u4").tobytes())
-                    decoded.append(raw.gather(own)[0].tobytes())
+                    ids.add(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                own = [ids.gather(x) for x in which]
+                packed = [x.astype("<u4").tobytes() for x in own]
+                decoded = [x for a, b in slices(np.cumsum([0, *map(len, own)]), DECODED // 4) for x in vocabulary.decode(own[a:b])]
                 rest = batch.slice(i, j - i).columns[1:]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())], [*carry, "ids", "decoded"])
 
