@@ -99,8 +99,11 @@ def covering_masks(radius: int, seed: int, bits: int = BITS, always: int = 0) ->
 
 
 def _spanning(near: Callable[[int, np.ndarray], np.ndarray], ids: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join each linked set of rows, one fewer than its rows; ``near``: which rows of some are near one."""
-    edges, left = [], np.arange(len(ids))
+    """Links that join each linked set of rows, one fewer than its rows; ``near``: which rows of some are near one.
+
+    Each set is walked from its smallest id, so that the buckets of a large group mostly give the same few centres.
+    """
+    edges, left = [], np.argsort(ids, kind="stable")
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
