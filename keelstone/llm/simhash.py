@@ -374,7 +374,12 @@ def similar(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle
     near = links(wide.mapInArrow(deal, "fp long, far long, rep long"), 3, bucket_rows, 11, PART_BITS, always, NEAR_RADIUS)
     near = near.join(wide.selectExpr("node a", "wide wide_a"), "a").join(wide.selectExpr("node b", "wide wide_b"), "b")
     apart = F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    groups = staged(components(near.where(apart <= WIDE_RADIUS).select("a", "b")), "groups")
+    near = staged(near.where(apart <= WIDE_RADIUS).select("a", "b"), "pairs")
+    # an eighth of the links joins most of a large group; of the rest only those between different parts go on
+    some = staged(components(near.where("pmod(xxhash64(a, b), 8) = 0")), "groups")
+    rest = near.join(some.selectExpr("node a", "component x"), "a", "left").join(some.selectExpr("node b", "component y"), "b", "left")
+    rest = rest.selectExpr("coalesce(x, a) a", "coalesce(y, b) b").where("a <> b").distinct()
+    groups = staged(components(rest.unionByName(some.selectExpr("node a", "component b"))), "groups")
     members = groups.join(nodes.select("node", "head", "size"), "node")
     blocks = members.groupBy("component").agg(F.expr(f"cast((sum(size) + {crowd - 1}) div {crowd} as int)").alias("blocks"))
     members = members.join(blocks, "component").select(
