@@ -172,6 +172,8 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     rows = rows.unionByName(ghosts.selectExpr("before bucket", "id", "key", "text", "cast(null as string) fp", "true ghost", "0L copies"))
     rows = rows.unionByName(told.selectExpr("bucket", "id", "key", "cast(null as string) text", "fp", "false ghost", "coalesce(copies, 1L) copies"))
     rows = rows.unionByName(ghost_prints.selectExpr("bucket", "id", "key", "cast(null as string) text", "fp", "true ghost", "0L copies"))
+    # both windows below read this one shuffle
+    rows = rows.repartition("bucket")
     same = "(partition by bucket, ghost, id, key)"
     met = rows.selectExpr("bucket", "ghost", "id", "key", "text", f"max(fp) over {same} fp", f"max(copies) over {same} copies").where("text is not null")
     follow = "over (partition by bucket order by ghost, id, key)"
