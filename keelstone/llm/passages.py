@@ -8,7 +8,8 @@ repeated window lacks one.
 1. ``shared_anchors``: each piece of an Arrow batch packs its anchors' hashes into one binary row
    for each hash range.  Anchors that meet within the piece are settled there, and one of them stands
    for all, so that a very frequent passage costs a range one entry for each piece and not one for
-   each document.  The ranges report the anchors that occur again, by document.
+   each document.  The ranges report the anchors that occur again, packed for parts of the documents
+   (8 MB of text each), and each part makes one row for each document of what all ranges report.
 2. ``entries``: documents take their shared anchors back by a join on the id and send each one's
    *context*, all the windows that can own it, to the anchor's range.  Equal contexts of a piece are
    again settled in place.
@@ -182,8 +183,27 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def by_document(ids: np.ndarray, tags: np.ndarray, values: np.ndarray) -> pa.Table:
-    """(id, tag, found): the values of each document as one binary."""
+def to_parts(ids: np.ndarray, tags: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
+    """(part, data): rows of values for documents, packed by the part that each document falls to."""
+    part = _ranges(ids.view(np.uint64) ^ mixed(tags + _BASE), parts)
+    order = np.lexsort((tags, ids, part))
+    first = _firsts(part[order])
+    ends = np.append(first, len(order))[1:]
+    columns = np.ascontiguousarray(values).view(np.uint8)
+    data = []
+    for i, j in zip(first.tolist(), ends.tolist(), strict=True):
+        k = order[i:j]
+        d = ids[k].view(np.uint64)
+        data.append(pack(d[:1], d - np.append(d[:1], d[:-1]), tags[k], columns[k].T.ravel()))
+    return pa.table({"part": pa.array(part[order[first]].astype(np.int64), pa.int64()), "data": pa.array(data, pa.binary())})
+
+
+def by_document(table: pa.Table) -> pa.Table:
+    """(id, tag, found): all values that ranges packed for the documents of a part, one row for each document."""
+    rows = [unpack(x.as_py()) for x in table.column("data")]
+    ids = np.concatenate([(np.cumsum(r[1], dtype=np.uint64) + r[0].astype(np.uint64)).view(np.int64) for r in rows])
+    tags = np.concatenate([r[2].astype(np.uint64) for r in rows])
+    values = np.concatenate([r[3].reshape(-1, len(r[1])).T for r in rows])
     order = np.lexsort((tags, ids))
     ids, tags, values = ids[order], tags[order], values[order]
     first = _firsts(ids, tags)
@@ -197,8 +217,8 @@ def _narrow(h: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
 
 
-def _hashes(found: list[bytes]) -> np.ndarray:
-    own = np.frombuffer(b"".join(found), np.uint8).reshape(-1, 6)
+def _hashes(found: bytes) -> np.ndarray:
+    own = np.frombuffer(found, np.uint8).reshape(-1, 6)
     out = np.zeros((len(own), 8), np.uint8)
     out[:, :6] = own
     return out.view("<u8")[:, 0]
@@ -263,7 +283,7 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
         rows = [unpack(x.as_py()) for x in table.column("data")]
         if key[0].as_py() < 0:
             h, t = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (1, 3))
-            return by_document(np.concatenate([_more(r[0], r[2]) for r in rows]), t, _narrow(h))
+            return to_parts(np.concatenate([_more(r[0], r[2]) for r in rows]), t, _narrow(h), buckets)
         h = np.concatenate([np.cumsum(np.concatenate([r[3], r[4]]), dtype=np.uint64) for r in rows])
         d = np.concatenate([_more(r[0], r[1]) for r in rows])
         t = np.concatenate([r[2].astype(np.uint64) for r in rows])
@@ -273,10 +293,15 @@ def shared_anchors(docs: DataFrame, units: Units, buckets: int, within: bool) ->
         first = _firsts(h)
         size = np.diff(np.append(first, len(h)))
         report = np.repeat(size > 1, size) & ~here
-        return by_document(d[report], t[report], _narrow(h[report]))
+        return to_parts(d[report], t[report], _narrow(h[report]), buckets)
 
     sent = docs.select("id", "tag", "text").mapInArrow(send, "bucket long, data binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "id long, tag long, found binary")
+    return gathered(sent.groupBy("bucket").applyInArrow(meet, "part long, data binary"))
+
+
+def gathered(packed: DataFrame) -> DataFrame:
+    """(id, tag, found): one row for each document, from (part, data)."""
+    return packed.groupBy("part").applyInArrow(by_document, "id long, tag long, found binary")
 
 
 class Entries:
@@ -455,7 +480,7 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             tags = tags.view(np.uint64)
             data, offsets = flat(batch.column(2))
-            lists = batch.column(3)
+            found = batch.column(3)
             kept, done, dealt = [], [], []
             for i, j in slices(offsets):
                 text = data[offsets[i] : offsets[j]]
@@ -467,7 +492,7 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
                     step = np.repeat(w[hot] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                     of = np.repeat(doc[hot], size)
                     dealt.append((windows(text, start, end, step), ids[of + i], tags[of + i], step - own[of]))
-                wanted = [_hashes(x.as_py()) for x in lists[i:j]]
+                wanted = [_hashes(x.as_py()) for x in found[i:j]]
                 salt = np.repeat(np.arange(j - i, dtype=np.uint64), [len(x) for x in wanted]) * _BASE
                 hit = np.isin(h ^ (doc.astype(np.uint64) * _BASE), np.concatenate(wanted) ^ salt) if len(h) else np.zeros(0, bool)
                 hit &= ~hot
@@ -505,8 +530,7 @@ def entries(docs: DataFrame, flagged: DataFrame, units: Units, buckets: int, wit
                     out.append((int(bucket[order[i]]), e.take(order[i:j]).compact().packed()))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "data"])
 
-    lists = flagged.groupBy("id", "tag").agg(F.collect_list("found").alias("found"))
-    return docs.join(lists, ["id", "tag"], "left").select("id", "tag", "text", "found").mapInArrow(send, "bucket long, data binary")
+    return docs.join(flagged, ["id", "tag"], "left").select("id", "tag", "text", "found").mapInArrow(send, "bucket long, data binary")
 
 
 def join_windows(entry: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -531,7 +555,7 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve, sort: Sort = sort_by_hash) -> DataFrame:
-    """(id, tag, spans): for each of ``documents`` with any, the spans of units that repeated windows cover."""
+    """(id, tag, spans): for each of ``documents`` with any, the spans of units that repeated windows cover, as pairs of 32-bit integers."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_RANGES, -(-size // RANGE_BYTES))
 
@@ -540,14 +564,14 @@ def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve, sort:
             rows = [unpack(x.as_py()) for x in table.column("data")]
             d = np.concatenate([_more(r[0], r[1]) for r in rows])
             t, a, n = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (2, 3, 4))
-            return by_document(d, t, _spans(a, a + n))
+            return to_parts(d, t, _spans(a, a + n), buckets)
         if key[0].as_py() >= buckets:
             rows = [unpack(x.as_py()) for x in table.column("data")]
             d = np.concatenate([_more(r[0], r[1]) for r in rows])
             t, x, y, at = (np.concatenate([r[k].astype(np.uint64) for r in rows]) for k in (2, 3, 4, 5))
             at = at.astype(np.int64)
             gone = settle_windows(np.stack([x, y], 1), d, t, at, np.concatenate([r[6].astype(bool) for r in rows]), within)[2]
-            return by_document(d[gone], t[gone], _spans(at[gone], at[gone] + units.length))
+            return to_parts(d[gone], t[gone], _spans(at[gone], at[gone] + units.length), buckets)
         e = Entries.join([Entries.unpacked(x.as_py()) for x in table.column("data")])
         e = e.take(np.argsort(e.h, kind="stable"))
         first = _firsts(e.h)
@@ -562,11 +586,11 @@ def covered(docs: DataFrame, units: Units, within: bool, resolve: Resolve, sort:
             found.append((entry + at, a, b))
             at = to
         entry, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return by_document(e.d[entry], e.t[entry], _spans(a, b))
+        return to_parts(e.d[entry], e.t[entry], _spans(a, b), buckets)
 
     flagged = shared_anchors(docs, units, buckets, within)
-    spans = entries(docs, flagged, units, buckets, within, crowded(docs, units), sort).groupBy("bucket").applyInArrow(meet, "id long, tag long, found binary")
-    return spans.groupBy("id", "tag").agg(F.collect_list("found").alias("spans"))
+    spans = entries(docs, flagged, units, buckets, within, crowded(docs, units), sort).groupBy("bucket").applyInArrow(meet, "part long, data binary")
+    return gathered(spans).withColumnRenamed("found", "spans")
 
 
 def mask(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
@@ -574,7 +598,7 @@ def mask(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
     change = np.zeros(offsets[-1] + 1, np.int64)
     for i, x in enumerate(spans):
         if x.is_valid:
-            pairs = np.minimum(np.frombuffer(b"".join(x.as_py()), np.int32).reshape(-1, 2) + offsets[i], offsets[i + 1])
+            pairs = np.minimum(np.frombuffer(x.as_py(), np.int32).reshape(-1, 2) + offsets[i], offsets[i + 1])
             np.add.at(change, pairs[:, 0], 1)
             np.subtract.at(change, pairs[:, 1], 1)
     return np.cumsum(change[:-1]) > 0
